@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridweave.llm import collapse, packing, tokens
+from gridweave.llm import collapse, packing, spans, tokens
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -37,7 +37,18 @@ def p7_containers(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf, "documents"), "doc_id", "text", tokens.VOCABULARY)
 
 
-QUERIES = {"p2_found": p2_found, "p2_notes": p2_notes, "p6_ids": p6_ids, "p7_containers": p7_containers}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return spans.shared_spans(table(spark, sf, "documents"), "doc_id", "text", 200)
+
+
+def p8_share(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return spans.shared_share(docs, "doc_id", "text", spans.shared_spans(docs, "doc_id", "text", 200))
+
+
+QUERIES = {
+    "p2_found": p2_found, "p2_notes": p2_notes, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_share": p8_share,
+}
 
 _P2 = r"""
 WITH typed AS (
@@ -51,7 +62,21 @@ keyed AS (
 notes AS (SELECT *, min(ann_key) OVER (PARTITION BY protocol_id, amendment, kind, words) keep_key FROM keyed WHERE words <> '')
 """
 
+_P8 = """
+WITH texts AS (SELECT doc_id, text, length(text) n FROM documents WHERE length(text) >= 200),
+windows AS (SELECT doc_id, p, hash(substr(text, p + 1, 200)) a, hash(reverse(substr(text, p + 1, 200))) b
+  FROM (SELECT doc_id, text, unnest(range(n - 199)) p FROM texts)),
+repeated AS (SELECT a, b FROM windows GROUP BY a, b HAVING min(doc_id) <> max(doc_id)),
+hits AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 200 THEN 0 ELSE 1 END n FROM windows SEMI JOIN repeated USING (a, b)),
+runs AS (SELECT doc_id, p, sum(n) OVER (PARTITION BY doc_id ORDER BY p) r FROM hits),
+found AS (SELECT doc_id, min(p)::INTEGER start_pos, (max(p) + 200)::INTEGER end_pos FROM runs GROUP BY doc_id, r)
+"""
+
 SQL = {
+    "p8_found": _P8 + "SELECT * FROM found",
+    "p8_share": _P8 + """SELECT d.doc_id, coalesce(length(text), 0)::INTEGER n_chars, coalesce(s, 0)::BIGINT n_shared,
+      CASE WHEN length(text) > 0 THEN coalesce(s, 0) / length(text) ELSE 0.0 END AS share
+      FROM documents d LEFT JOIN (SELECT doc_id, sum(end_pos - start_pos) s FROM found GROUP BY 1) USING (doc_id)""",
     "p2_found": _P2 + "SELECT keep_key, ann_key dup_key FROM notes WHERE ann_key <> keep_key",
     "p2_notes": _P2 + "SELECT keep_key, min(protocol_id) protocol_id, min(amendment) amendment, count(*) n_copies, "
     "sum(occurrence_count)::BIGINT sum_occurrences FROM notes GROUP BY keep_key",
