@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridweave.session import map_arrow
+
 
 @dataclass(frozen=True)
 class Child:
@@ -176,7 +178,7 @@ def flatten(records: DataFrame, record_id: str, payload: str, children: list[Chi
             if len(automaton.rules) > 100_000:
                 automaton = ShapeAutomaton()
 
-    return records.select(F.col(record_id).cast("long").alias("record_id"), F.col(payload).alias("payload")).mapInArrow(run, SCHEMA)
+    return map_arrow(records.select(F.col(record_id).cast("long").alias("record_id"), F.col(payload).alias("payload")), run, SCHEMA)
 
 
 def value_text() -> Column:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +44,30 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/gridweave/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session's executors, once for each application, from the shared folder."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent).as_posix())
+    target = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/gridweave/package-{uuid.uuid4().hex}/gridweave.zip")
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(target.toString())
+    _shipped.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """df.mapInArrow(run, schema) on workers that have this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
