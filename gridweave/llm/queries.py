@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridweave.llm import collapse, packing, spans, tokens
+from gridweave.llm import collapse, entities, packing, spans, tokens
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -29,6 +29,34 @@ def p2_notes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: What forms put before a name or section.
+FORM_NOISE = r"^(form\s*[:_-]+\s*|ecrf[\s_:-]+|f[0-9]+[\s_-]+)"
+
+
+def _matches(spark: SparkSession, sf: str) -> DataFrame:
+    numbers = [F.col("first_day").cast("double").alias("n1"), F.col("visit_count").cast("double").alias("n2")]
+    forms = table(spark, sf, "edc_items").select(
+        F.col("item_id").cast("string").alias("id"), F.col("study_label").alias("label"), F.col("form_label").alias("name"),
+        F.col("section_label").alias("section"), F.col("track_text").alias("track"), *numbers,
+    )
+    acts = table(spark, sf, "unified_activities").where("not is_section_header").select(
+        F.col("xact_id").alias("id"), F.col("protocol_id").alias("study"), F.col("activity_name").alias("name"),
+        F.col("parent_name").alias("section"), F.col("track_label").alias("track"), *numbers,
+    )
+    studies = table(spark, sf, "protocols").select(F.col("protocol_id").alias("study"), F.array("study_code", "study_acronym").alias("names"))
+    return entities.match(forms, acts, studies, FORM_NOISE)
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _matches(spark, sf).select(F.col("study").alias("protocol_id"), F.col("right_id").alias("xact_id"), F.col("left_id").cast("long").alias("item_id"))
+
+
+def p5_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    return _matches(spark, sf).select(
+        F.col("study").alias("protocol_id"), F.col("right_id").alias("xact_id"), F.col("left_id").cast("long").alias("item_id"), "confidence"
+    )
+
+
 def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.encode(table(spark, sf, "documents"), "doc_id", "text")
 
@@ -47,7 +75,7 @@ def p8_share(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_notes": p2_notes, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_share": p8_share,
+    "p2_found": p2_found, "p2_notes": p2_notes, "p5_found": p5_found, "p5_confidence": p5_confidence, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_share": p8_share,
 }
 
 _P2 = r"""

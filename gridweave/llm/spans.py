@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridweave.operators.skew import hot_keys, is_in
-from gridweave.session import materialise
+from gridweave.session import map_arrow, materialise
 
 #: Length of the strings whose smallest hash in a window is its minimiser.
 MINIMISER = 64
@@ -117,7 +117,7 @@ def _super_kmer_rows(docs: DataFrame, k: int, m: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "mini", "start", "n"])
                 begin = end
 
-    return docs.mapInArrow(run, "doc_id long, mini long, start int, n int")
+    return map_arrow(docs, run, "doc_id long, mini long, start int, n int")
 
 
 def repeated_windows(texts: list[str], docs: np.ndarray, k: int) -> np.ndarray:
@@ -202,7 +202,7 @@ def _cut(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 cols = [pa.array(mini), pa.array(np.full(len(n), doc)), pa.array(start), pa.array(pieces, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=["mini", "doc_id", "start", "piece"])
 
-    return docs.join(lists, "doc_id").select("doc_id", "text", "w").mapInArrow(run, "mini long, doc_id long, start int, piece string")
+    return map_arrow(docs.join(lists, "doc_id").select("doc_id", "text", "w"), run, "mini long, doc_id long, start int, piece string")
 
 
 def _in_buckets(pieces: DataFrame, k: int) -> DataFrame:
@@ -233,7 +233,7 @@ def _in_buckets(pieces: DataFrame, k: int) -> DataFrame:
         if size:
             yield work(*held)
 
-    return pieces.repartition("mini").sortWithinPartitions("mini").mapInArrow(run, _SPAN)
+    return map_arrow(pieces.repartition("mini").sortWithinPartitions("mini"), run, _SPAN)
 
 
 def _by_windows(pieces: DataFrame, k: int) -> DataFrame:
@@ -250,7 +250,7 @@ def _by_windows(pieces: DataFrame, k: int) -> DataFrame:
                 pos = np.arange(start, start + len(h), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([key, pa.array(np.full(len(h), doc)), pa.array(pos)], names=["key", "doc_id", "pos"])
 
-    rows = materialise(pieces.mapInArrow(run, "key binary, doc_id long, pos int"), "windows")
+    rows = materialise(map_arrow(pieces, run, "key binary, doc_id long, pos int"), "windows")
     hot = hot_keys(rows.select("key"), "key")
     ends = rows.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("key")
     cold = rows.where(~is_in("key", hot)).join(ends.where(~is_in("key", hot)), "key", "left_semi")

@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridweave.session import map_arrow
+
 #: Where the vocabulary files are unless a path is given.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Code points that are worked on at a time, and pieces whose ids are remembered.
@@ -277,7 +279,7 @@ def _run(docs: DataFrame, doc_id: str, text: str, path: str, schema: str, want_i
                     yield pa.RecordBatch.from_arrays([key, pa.array(counts)], names=["doc_id", "n_tokens"])
 
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(run, schema)
+    return map_arrow(slim, run, schema)
 
 
 def encode(docs: DataFrame, doc_id: str, text: str, path: str = VOCABULARY) -> DataFrame:
