@@ -112,13 +112,13 @@ def conclusion(n: Column, n_tables: Column, n_types: Column, n_names: Column) ->
 
 
 def derived(rule: str, value: Column) -> Column:
-    """A metadata field by a rule: first_token, or last_token_unless_nct (null where the last token is a registry number)."""
-    tokens = F.filter(F.split(strip(value), " +"), lambda t: t != "")
-    last = F.try_element_at(tokens, F.lit(-1))
+    """A metadata field by a rule: first_token, or last_token_unless_nct (empty where there is one token or the last is a registry number); tokens are parted by underscores."""
+    tokens = F.split(F.coalesce(value, F.lit("")), "_")
     if rule == "first_token":
-        return F.coalesce(F.get(tokens, 0), F.lit(""))
+        return tokens[0]
     if rule == "last_token_unless_nct":
-        return F.when(F.coalesce(last.startswith("NCT"), F.lit(True)), F.lit("")).otherwise(last)
+        last = F.element_at(tokens, -1)
+        return F.when((F.size(tokens) >= 2) & ~last.startswith("NCT"), last).otherwise(F.lit(""))
     raise ValueError(f"unknown rule {rule}")
 
 

@@ -17,9 +17,12 @@ def mint_in_order(df: DataFrame, name: str, prefix: str, group: list[str], order
 
 
 def elements(df: DataFrame, array: str, keys: list[str], at: str = "pos") -> DataFrame:
-    """The elements of an array of structs as rows, with their positions from 1; a null or empty array gives none."""
+    """The elements of an array of structs as rows, with their positions from 1; a null or empty array gives none.
+
+    Fields of the elements that have the name of a key or of `at` give way to it."""
     exploded = df.select(*keys, F.posexplode(array).alias("_p", "_e"))
-    return exploded.select(*keys, (F.col("_p") + 1).alias(at), "_e.*")
+    fields = [f.name for f in exploded.schema["_e"].dataType.fields if f.name not in (*keys, at)]
+    return exploded.select(*keys, (F.col("_p") + 1).alias(at), *[F.col("_e")[f].alias(f) for f in fields])
 
 
 def latest(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:

@@ -14,18 +14,19 @@ def merge_equal(df: DataFrame, group: list[str], key: Column, order: str, first:
     """
     keyed = df.withColumn("_key", F.sha2(F.coalesce(F.concat(F.lit("="), key), F.lit("")), 256))
     firsts = [F.min_by(F.struct(*first), order).alias("_first")] if first else []
-    united = [F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(order, F.coalesce(r, F.array().cast(dict(df.dtypes)[r])).alias("r")))), lambda x: x["r"]))).alias(r) for r in refs]
-    occ = [F.transform(F.sort_array(F.collect_list(F.struct(order, F.struct(*occurrence).alias("o")))), lambda x: x["o"]).alias("occurrences")] if occurrence else []
+    united = [F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("_at"), F.coalesce(r, F.array().cast(dict(df.dtypes)[r])).alias("_v")))), lambda x: x["_v"]))).alias(r) for r in refs]
+    occ = [F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("_at"), F.struct(*occurrence).alias("_v")))), lambda x: x["_v"]).alias("occurrences")] if occurrence else []
     out = keyed.groupBy(*group, "_key").agg(*firsts, F.min(order).alias("first_order"), *united, *occ, F.count(F.lit(1)).alias("n_occurrences"))
     return out.select(*group, *(["_first.*"] if first else []), "first_order", *refs, *(["occurrences"] if occurrence else []), "n_occurrences")
 
 
-def display_markers(df: DataFrame, group: list[str], marker: str, number: str, name: str = "display") -> DataFrame:
+def display_markers(df: DataFrame, group: list[str], marker: str, number: str, name: str = "display", order: str | None = None) -> DataFrame:
     """group and its markers as text: T1:e, T2-4:a; numbers of a marker as a range if they follow one another without repeat,
-    else as a list; markers by their smallest number, then by first appearance in order of the marker."""
-    per = df.groupBy(*group, marker).agg(F.sort_array(F.collect_list(number)).alias("_n"))
+    else as a list; markers by their smallest number, then by their first row in `order`, else by themselves."""
+    first = (F.min(order) if order else F.min(marker)).alias("_f")
+    per = df.groupBy(*group, marker).agg(F.sort_array(F.collect_list(number)).alias("_n"), first)
     low, high, n = F.array_min("_n"), F.array_max("_n"), F.size("_n")
     spread = (n > 1) & (F.size(F.array_distinct("_n")) == n) & (high - low + 1 == n)
     body = F.when(n == 1, low.cast("string")).when(spread, F.concat(low.cast("string"), F.lit("-"), high.cast("string"))).otherwise(F.array_join(F.transform("_n", lambda x: x.cast("string")), ","))
-    text = per.select(*group, low.alias("_low"), F.col(marker).alias("_m"), F.concat(F.lit("T"), body, F.lit(":"), F.col(marker)).alias("_t"))
+    text = per.select(*group, low.alias("_low"), F.col("_f").alias("_m"), F.concat(F.lit("T"), body, F.lit(":"), F.col(marker)).alias("_t"))
     return text.groupBy(*group).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_low", "_m", "_t"))), lambda x: x["_t"]), ", ").alias(name))

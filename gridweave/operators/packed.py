@@ -15,8 +15,9 @@ DELIMITERS = {
     "tab": "\t", "blank": " ", "wide_comma": "，", "list_comma": "、", "dot": "·",
 }
 QUOTE_SIGNS = {"double": '"', "single": "'", "typographic": "“"}
-#: Fixed values, in bits: a character that is spelled out, and a separating character under a named delimiter and under "any".
-SPELLED, NAMED_SEPARATOR, ANY_SEPARATOR = 8.0, 1.0, 6.0
+#: Fixed values, in bits: a character that is spelled out, a separating character under a named delimiter and under "any", and
+#: what it takes to say that a dialect has a quoting style, or every delimiter and all styles.
+SPELLED, NAMED_SEPARATOR, ANY_SEPARATOR, STYLE, EVERYTHING = 8.0, 1.0, 6.0, 1.0, 7.0
 
 
 def _values(field: Column, chars: str, quote: str) -> Column:
@@ -46,12 +47,12 @@ def candidates(fields: DataFrame, chars: str) -> DataFrame:
     for q in quotes:
         rest, values = F.col(f"_r_{q}"), F.col(f"_v_{q}")
         uses = F.lit(True) if q == "none" else F.col("field").contains(QUOTE_SIGNS[q])
-        seps = (F.length(rest) * NAMED_SEPARATOR).cast("double")
+        seps = (F.length(rest) * NAMED_SEPARATOR + (0.0 if q == "none" else STYLE)).cast("double")
         fits = F.filter(signs, lambda d: rest.contains(d["sign"]) & (F.call_function("translate", rest, F.concat(d["sign"], F.lit(" \t")), F.lit("")) == ""))
         named = F.transform(fits, lambda d: F.struct(F.concat(d["name"], F.lit(f"/{q}")).alias("dialect"), values.alias("values"), seps.alias("seps")))
         alone = F.array(F.struct(F.lit(f"whole/{q}").alias("dialect"), values.alias("values"), seps.alias("seps")))
         options += [F.when(uses, named), F.when(uses & (F.trim(rest) == "") & (F.size(values) == 1), alone)]
-    free = F.struct(F.lit("any/all").alias("dialect"), F.col("_v_all").alias("values"), (F.length("_r_all") * ANY_SEPARATOR).cast("double").alias("seps"))
+    free = F.struct(F.lit("any/all").alias("dialect"), F.col("_v_all").alias("values"), (F.length("_r_all") * ANY_SEPARATOR + EVERYTHING).cast("double").alias("seps"))
     found = F.flatten(F.filter(F.array(*options, F.array(free)), lambda o: o.isNotNull()))
     each = wide.select("fid", "n", found.alias("_o"))
     return each.select("fid", "n", F.size("_o").alias("ways"), F.explode("_o").alias("_o")).select("fid", "n", "ways", "_o.*")
@@ -61,7 +62,8 @@ def choose_dialects(fields: DataFrame, chars: str) -> DataFrame:
     """fid and the dialect of least description length, of distinct fields (fid, field, n).
 
     Length: the dialect's code, by how often each dialect can describe a field; each value's code, by how often the value
-    occurs in all candidate parses of all fields, or spelled out where that is shorter; and the separating characters.
+    occurs in all candidate parses of all fields, or spelled out where that is shorter; the separating characters; and the
+    generality of the dialect.
     Ties go to the dialect first by name.
     """
     cand = materialise(candidates(fields, chars), "dialects")

@@ -68,7 +68,11 @@ def level_first(df: DataFrame, group: list[str], level: str, kind: str, pos: str
 def column_identifier(values: Column) -> Column:
     """The identifying value of a column from its array of struct(property_type, level, value): the first non-empty of visit,
     cycle and study_day, else that of the lowest level that is no empty epoch; levels that are null count as 99."""
-    typed = [F.try_element_at(F.filter(values, lambda v, t=t: (v["property_type"] == t) & (F.coalesce(v["value"], F.lit("")) != "")), F.lit(1))["value"] for t in ("visit", "cycle", "study_day")]
+    def named(kind: str) -> Column:
+        of_kind = F.filter(values, lambda v: (v["property_type"] == kind) & (F.coalesce(v["value"], F.lit("")) != ""))
+        return F.try_element_at(of_kind, F.lit(1))["value"]
+
+    typed = [named(t) for t in ("visit", "cycle", "study_day")]
     rest = F.filter(values, lambda v: F.coalesce(v["value"], F.lit("")) != "")
     lowest = F.array_sort(F.transform(rest, lambda v: F.struct(F.coalesce(v["level"], F.lit(99)).alias("l"), v["value"].alias("v"))))
     return F.coalesce(*typed, F.try_element_at(lowest, F.lit(1))["v"], F.lit(""))

@@ -93,13 +93,11 @@ def page_map(spark, sf):
     return declared.join(found, "protocol_id", "left").select("protocol_id", classify.page_decision(F.col("d"), F.col("n")).alias("decision"))
 
 
-@query("""SELECT protocol_id, coalesce(split_part(study_code, ' ', 1), '') first_token,
-  CASE WHEN sponsor IS NULL OR split_part(trim(sponsor), ' ', -1) LIKE 'NCT%' THEN '' ELSE regexp_extract(trim(sponsor), '[^ ]+$') END last_token FROM protocols""")
+@query("""SELECT row_id, split_part(coalesce(extract_method, ''), '_', 1) first_token, CASE WHEN contains(extract_method, '_') AND NOT starts_with(split_part(extract_method, '_', -1), 'NCT')
+  THEN split_part(extract_method, '_', -1) ELSE '' END last_token FROM soa_activities""")
 def derived_metadata(spark, sf):
-    return T(spark, sf, "protocols").select(
-        "protocol_id", classify.derived("first_token", F.col("study_code")).alias("first_token"),
-        classify.derived("last_token_unless_nct", F.col("sponsor")).alias("last_token"),
-    )
+    m = F.col("extract_method")
+    return T(spark, sf, "soa_activities").select("row_id", classify.derived("first_token", m).alias("first_token"), classify.derived("last_token_unless_nct", m).alias("last_token"))
 
 
 # --- classification ------------------------------------------------------------------------------------------------------
