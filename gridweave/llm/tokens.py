@@ -225,7 +225,7 @@ def safe_cuts(text: str, size: int = CHUNK) -> list[str]:
             cut += 1
         parts.append(text[at:cut])
         at = cut
-    return parts + [text[at:]]
+    return parts + [text[at:]] if at < len(text) else parts
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
