@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridweave.session import materialise
+
 #: Levels that are told apart by running maxima; more make use of a stack of rows instead.
 MOST_LEVELS = 64
 
@@ -57,6 +59,7 @@ def preorder(df: DataFrame, group: list[str], ident: str, parent: str, order: li
     """
     w = Window.partitionBy(*group, parent).orderBy(*order)
     ranked = df.select(*[F.col(g).alias(f"g{i}") for i, g in enumerate(group)], F.col(ident).alias("id"), F.col(parent).alias("up"), F.row_number().over(w).alias("rank"))
+    ranked = materialise(ranked, "nodes")  # every level of the recursion reads it
     gs = ", ".join(f"g{i}" for i in range(len(group)))
     same = " AND ".join(f"w.g{i} <=> n.g{i}" for i in range(len(group))) or "true"
     walked = df.sparkSession.sql(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridweave.functions import classify, text
 from gridweave.operators import fold, hierarchy, ids, matrix, merge, report, xref
 from gridweave.plans.resolve import KEY, Resolved
+from gridweave.session import materialise
 
 STATUSES = ["exact", "fuzzy_auto", "fuzzy_cross_parent", "fuzzy_review", "new"]
 
@@ -54,7 +55,7 @@ def entities(r: Resolved) -> tuple[DataFrame, DataFrame]:
     made = fold.resolve_entities(rows, ["protocol_id"])
     own = acts.select(*KEY, "pos", "table_id", "activity_id", "row_position", "activity_name", "hierarchy_level", "is_section_header", "is_redacted", "table_type")
     parents = rows.select(*KEY, "pos", "parent")
-    sources = made.join(own, [*KEY, "pos"]).join(parents, [*KEY, "pos"]).withColumn("turn", F.struct(F.when(F.col("table_type") == "main_soa", 0).otherwise(1).alias("b"), F.col("table_number").alias("t"), F.col("pos").alias("p")))
+    sources = materialise(made.join(own, [*KEY, "pos"]).join(parents, [*KEY, "pos"]), "sources").withColumn("turn", F.struct(F.when(F.col("table_type") == "main_soa", 0).otherwise(1).alias("b"), F.col("table_number").alias("t"), F.col("pos").alias("p")))
     first = lambda c, name=None: F.min_by(c, "turn").alias(name or c)
     each = sources.groupBy("protocol_id", "xact_id").agg(
         first("entity_name", "activity_name"), first("entity_parent", "parent_name"), first("hierarchy_level"), first("is_section_header"), F.bool_or("is_redacted").alias("is_redacted"),
@@ -67,6 +68,7 @@ def entities(r: Resolved) -> tuple[DataFrame, DataFrame]:
     by_name = each.groupBy("protocol_id", F.col("activity_name").alias("_up")).agg(F.min_by("xact_id", made_at).alias("parent_xact_id"))
     primary = F.nullif(F.element_at(F.split("parent_name", " / "), 1), F.lit(""))
     each = each.withColumn("_up", primary).join(by_name, ["protocol_id", "_up"], "left").drop("_up").withColumn("made", made_at)
+    each = materialise(each, "entities")
     order = hierarchy.preorder(each, ["protocol_id"], "xact_id", "parent_xact_id", ["first_place", "made"], "display_order")
     return each.join(order, ["protocol_id", "xact_id"]).drop("first_place", "made"), sources.drop("turn")
 
@@ -127,10 +129,12 @@ def consolidate(r: Resolved) -> Consolidated:
         full = full.join(df, key, "left")
     refs = ["referenced_xacts", "referenced_xcols", "referenced_props", "cell_references"]
     merged = merge.merge_equal(full, ["protocol_id"], text.norm_note(F.coalesce("annotation_text", F.lit(""))), "ord", ["annotation_type", "annotation_text"], refs, ["table_num", "marker", "annotation_id"])
+    merged = materialise(merged, "merged_notes")
     merged = ids.mint_in_order(merged, "xannot_id", "xannot", ["protocol_id"], [F.col("first_order")])
     occ = merged.select("protocol_id", "xannot_id", F.posexplode("occurrences").alias("at", "o")).select("protocol_id", "xannot_id", "at", "o.table_num", "o.marker")
     shown = merge.display_markers(occ, ["protocol_id", "xannot_id"], "marker", "table_num", "display_markers", order="at")
     annotations = merged.join(shown, ["protocol_id", "xannot_id"], "left").withColumnRenamed("occurrences", "source_occurrences").withColumnRenamed("n_occurrences", "occurrence_count")
+    annotations = materialise(annotations, "notes")
 
     queue = sources.where("match_status = 'fuzzy_review'").select("protocol_id", "xact_id", F.col("match_confidence").alias("confidence"), F.col("entity_name").alias("existing_name"), F.col("activity_name").alias("new_name"))
     return Consolidated(activities, sources, columns, properties, grid, annotations, queue, _stats(r, activities, sources, annotations))

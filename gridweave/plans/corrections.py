@@ -25,17 +25,17 @@ def correct(doc: dict, corrections: list[dict]) -> dict:
         if op == "add":
             rows.append(c["set"])
             continue
+        if op not in ("set", "remove") or "match" not in c:
+            raise CorrectionError(f"{c.get('id')}: no match, or unknown op {op!r}")
         hits = [r for r in rows if all(r.get(k) == v for k, v in c["match"].items())]
         if op == "set":
             if len(hits) != 1:
                 raise CorrectionError(f"{c.get('id')}: set {c['match']} hits {len(hits)} rows")
             hits[0].update(c["set"])
-        elif op == "remove":
+        else:
             if not hits:
                 raise CorrectionError(f"{c.get('id')}: remove {c['match']} hits no rows")
             out[name] = [r for r in rows if not any(r is h for h in hits)]
-        else:
-            raise CorrectionError(f"{c.get('id')}: unknown op {op!r}")
     return out
 
 

@@ -87,7 +87,7 @@ def run(spark: SparkSession, root: str, out: str | None = None, steps: list[tupl
         ctx.errors += [(r["step"], f"{r['protocol_id']}: {r['subject']}") for r in found.where("severity = 'error'").limit(1000).collect()]
         if out:
             bad = found.where("severity = 'error'").select("protocol_id").distinct()
-            sinks.write_tables(ctx.results["resolve"].all(), f"{out}/resolved", ["protocol_id"])
+            sinks.write_tables(ctx.results["resolve"].all() | {"status": resolve.table_status(ctx.results["resolve"])}, f"{out}/resolved", ["protocol_id"])
             sinks.write_tables({k: df.join(bad, "protocol_id", "left_anti") for k, df in ctx.results["consolidate"].all().items()}, f"{out}/consolidated", ["protocol_id"])
             sinks.write_tables({k: df for k, df in ctx.results["inventory"].items()}, f"{out}/inventory")
     return ctx

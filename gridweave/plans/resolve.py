@@ -40,7 +40,7 @@ def resolve(docs: DataFrame) -> Resolved:
     """docs: protocol_id, table_number, file, doc (see sources.documents). Everything is keyed and shuffled by KEY.
 
     Array positions are ranks of ids. Cells and header cells whose row has no activity or property are dropped. Documents that
-    lack an array are left out of all tables but `tables`, where their status is failed.
+    lack an array are left out of all tables but `tables`, where `errors` names it; see table_status().
     """
     docs = docs.select(*KEY, "file", F.col("doc.table_metadata").alias("meta"), *[F.col(f"doc.{a}").alias(a) for a in ("schedule_properties", "schedule_grid", "activities", "activity_schedule", "annotations")])
     parts = ["schedule_properties", "schedule_grid", "activities", "activity_schedule", "annotations"]
@@ -98,18 +98,23 @@ def resolve(docs: DataFrame) -> Resolved:
     )
 
     warnings = _warnings(props, acts, raw_cells, grid, notes, annotations)
-    n_warn = warnings.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_warnings"))
-    lists = docs.select(
+    tables = docs.select(
         *KEY, "file", ids.mint("table", F.col("table_number")).alias("table_id"), F.coalesce("meta.table_type", F.lit("main_soa")).alias("table_type"), F.coalesce("meta.table_title", F.lit("")).alias("table_title"),
         F.coalesce("meta.table_purpose", F.lit("")).alias("table_purpose"), "meta.page_start", "meta.page_end", "meta.track_label", "errors",
         F.size("schedule_properties").alias("header_row_count"), F.size("activities").alias("activity_row_count"), F.size("annotations").alias("annotation_count"),
         F.greatest(F.coalesce(F.array_max(F.transform("schedule_properties", lambda p: p["row_position"])), F.lit(0)), F.coalesce(F.array_max(F.transform("activities", lambda a: a["row_position"])), F.lit(0)), F.lit(0)).alias("row_count"),
         F.size(F.array_distinct(F.transform("schedule_grid", lambda g: g["column_position"]))).alias("column_count"),
     )
-    tables = lists.join(n_warn, KEY, "left").withColumn("status", classify.status(F.size("errors"), F.coalesce("n_warnings", F.lit(0)))).drop("n_warnings")
     return Resolved(tables, props, columns, values, acts, cells, annotations, edges, warnings)
 
 
+def table_status(r: Resolved) -> DataFrame:
+    """KEY, n_errors, n_warnings, status of every table."""
+    n = r.warnings.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_warnings"))
+    both = r.tables.select(*KEY, F.size("errors").alias("n_errors")).join(n, KEY, "left").fillna(0, ["n_warnings"])
+    return both.withColumn("status", classify.status(F.col("n_errors"), F.col("n_warnings")))
+
+
 def _warnings(props: DataFrame, acts: DataFrame, cells: DataFrame, grid: DataFrame, notes: DataFrame, annotations: DataFrame) -> DataFrame:
     """KEY, step, message of everything that looks wrong but stops nothing."""
 

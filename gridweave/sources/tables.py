@@ -62,8 +62,9 @@ def tool_calls(lines: DataFrame, text: str = "value") -> DataFrame:
 
 def json_strings(docs: DataFrame, text: str) -> DataFrame:
     """doc_text_sha, value: every string that stands in a JSON text, decoded."""
-    literal = r'"((?:[^"\\]++|\\.)*+)"\s*+(?!\s*:)'
-    raw = docs.select(F.sha2(text, 256).alias("doc_text_sha"), F.explode(F.regexp_extract_all(text, F.lit(literal), F.lit(0))).alias("r"))
+    literal = r'"(?:[^"\\]++|\\.)*+"\s*+:?'
+    found = F.filter(F.regexp_extract_all(text, F.lit(literal), F.lit(0)), lambda x: ~x.endswith(":"))  # not the keys
+    raw = docs.select(F.sha2(text, 256).alias("doc_text_sha"), F.explode(found).alias("r"))
     value = F.from_json(F.concat(F.lit('{"v":'), F.trim("r"), F.lit("}")), "v string")["v"]
     return raw.select("doc_text_sha", value.alias("value"))
 
