@@ -67,23 +67,27 @@ def label_matches(printed: DataFrame, labels: DataFrame, group: list[str], text:
 
 
 def _grams(c: Column) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - (GRAM - 1))), lambda i: F.substring(c, i, F.lit(GRAM))))
+    """Hashes of the distinct GRAM-grams of a text."""
+    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - (GRAM - 1)))
+    return F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.substring(c, i, F.lit(GRAM)))))
 
 
 def contains_join(needles: DataFrame, stacks: DataFrame, group: list[str], needle: str, stack: str) -> DataFrame:
     """Pairs of a group where the text `stack` contains `needle` (at least GRAM characters): columns of needles and stacks.
 
-    Each needle travels by the rarest of its GRAM-grams within the group's stacks, each stack by its distinct grams that are
-    such a key; only pairs that share the key are compared. Columns of both sides other than group must differ in name.
+    Each needle travels by the (hash of the) rarest of its GRAM-grams within the group's stacks, each stack by all of its
+    own; only pairs that share the key are compared, and only hashes travel until then. Columns of both sides other than
+    group must differ in name.
     """
-    n = needles.where(F.length(needle) >= GRAM)
-    found = stacks.select(*group, F.explode(_grams(F.col(stack))).alias("_g")).groupBy(*group, "_g").agg(F.count(F.lit(1)).alias("_n"))
-    keyed = n.select(*group, needle).distinct().withColumn("_g", F.explode(_grams(F.col(needle)))).join(found, [*group, "_g"], "left")
-    rarest = keyed.groupBy(*group, needle).agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("_b")).where("_b.n > 0")
-    by = rarest.select(*group, needle, F.col("_b._g").alias("_g"))
-    wide = stacks.select("*", F.explode(_grams(F.col(stack))).alias("_g")).join(by.select(*group, "_g").distinct(), [*group, "_g"], "left_semi")
-    texts = by.join(wide, [*group, "_g"]).where(F.col(stack).contains(F.col(needle))).drop("_g")
-    return n.join(texts, [*group, needle])
+    n = needles.where(F.length(needle) >= GRAM).withColumn("_nk", F.xxhash64(needle))
+    s = stacks.withColumn("_sk", F.xxhash64(stack))
+    in_stacks = s.select(*group, "_sk", F.explode(_grams(F.col(stack))).alias("_g"))
+    of_needle = n.select(*group, "_nk", needle).distinct().select(*group, "_nk", F.explode(_grams(F.col(needle))).alias("_g"))
+    count = in_stacks.groupBy(*group, "_g").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = of_needle.join(count, [*group, "_g"], "left").groupBy(*group, "_nk").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("_b"))
+    by = rarest.where("_b.n > 0").select(*group, "_nk", F.col("_b._g").alias("_g"))
+    pairs = by.join(in_stacks, [*group, "_g"]).select(*group, "_nk", "_sk").distinct()
+    return pairs.join(n, [*group, "_nk"]).join(s, [*group, "_sk"]).where(F.col(stack).contains(F.col(needle))).drop("_nk", "_sk")
 
 
 def longest_unique(pairs: DataFrame, key: list[str], size: Column) -> DataFrame:

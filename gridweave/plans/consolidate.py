@@ -96,15 +96,27 @@ def property_key() -> Column:
     return F.coalesce(F.col("hierarchical_level").cast("string"), F.concat(F.lit("q_"), F.coalesce("property_type", F.lit("other")), F.lit("_"), F.coalesce("property_name", F.lit(""))))
 
 
+def schedule(r: Resolved, sources: DataFrame, columns: DataFrame) -> DataFrame:
+    """The sparse matrix of consolidated activities and columns; cells of unknown ones are dropped."""
+    cells = r.cells.join(sources.select(*KEY, "activity_id", "xact_id"), [*KEY, "activity_id"]).join(columns.select(*KEY, "column_id", "xcol_id"), [*KEY, "column_id"])
+    return matrix.consolidate_cells(cells, ["protocol_id", "xact_id", "xcol_id"], "table_number", "cell_value", "pos")
+
+
 def consolidate(r: Resolved) -> Consolidated:
     """One shuffle by protocol for the fold of entities; everything else joins on ids within a protocol."""
     activities, sources = entities(r)
     columns, properties = timeline(r)
+    annotations = notes_of(r, sources, columns, properties)
+    queue = sources.where("match_status = 'fuzzy_review'").select("protocol_id", "xact_id", F.col("match_confidence").alias("confidence"), F.col("entity_name").alias("existing_name"), F.col("activity_name").alias("new_name"))
+    return Consolidated(activities, sources, columns, properties, schedule(r, sources, columns), annotations, queue, _stats(r, activities, sources, annotations))
+
+
+def notes_of(r: Resolved, sources: DataFrame, columns: DataFrame, properties: DataFrame) -> DataFrame:
+    """Notes once for each normal text, with the entities, columns, properties and cells they refer to in any table.
+
+    Truth is the markers of rows; only notes for which those give no activity are bound by their recorded locations."""
     to_xact = sources.select(*KEY, "activity_id", "xact_id")
     to_xcol = columns.select(*KEY, "column_id", "xcol_id")
-    cells = r.cells.join(to_xact, [*KEY, "activity_id"]).join(to_xcol, [*KEY, "column_id"])
-    grid = matrix.consolidate_cells(cells, ["protocol_id", "xact_id", "xcol_id"], "table_number", "cell_value", "pos")
-
     to_prop = r.properties.withColumn("prop_key", property_key()).select(*KEY, F.col("property_id").alias("element"), "prop_key").join(properties.select("protocol_id", "prop_key", F.col("property_id").alias("target")), ["protocol_id", "prop_key"])
     notes = r.annotations.withColumn("ord", F.row_number().over(Window.partitionBy("protocol_id").orderBy("table_number", "pos")))
     note = notes.select(*KEY, "annotation_id", "ord")
@@ -134,10 +146,7 @@ def consolidate(r: Resolved) -> Consolidated:
     occ = merged.select("protocol_id", "xannot_id", F.posexplode("occurrences").alias("at", "o")).select("protocol_id", "xannot_id", "at", "o.table_num", "o.marker")
     shown = merge.display_markers(occ, ["protocol_id", "xannot_id"], "marker", "table_num", "display_markers", order="at")
     annotations = merged.join(shown, ["protocol_id", "xannot_id"], "left").withColumnRenamed("occurrences", "source_occurrences").withColumnRenamed("n_occurrences", "occurrence_count")
-    annotations = materialise(annotations, "notes")
-
-    queue = sources.where("match_status = 'fuzzy_review'").select("protocol_id", "xact_id", F.col("match_confidence").alias("confidence"), F.col("entity_name").alias("existing_name"), F.col("activity_name").alias("new_name"))
-    return Consolidated(activities, sources, columns, properties, grid, annotations, queue, _stats(r, activities, sources, annotations))
+    return materialise(annotations, "notes")
 
 
 def _stats(r: Resolved, activities: DataFrame, sources: DataFrame, annotations: DataFrame) -> DataFrame:

@@ -54,7 +54,9 @@ def consolidated_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def consolidated_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    return _both(spark, sf)[1].matrix.select("protocol_id", "xact_id", "xcol_id", "consolidated_value")
+    r = resolve.resolve(materialise(_docs(spark, sf), "documents"))
+    m = consolidate.schedule(r, consolidate.entities(r)[1], consolidate.timeline(r)[0])
+    return m.select("protocol_id", "xact_id", "xcol_id", "consolidated_value")
 
 
 def consolidated_notes(spark: SparkSession, sf: str) -> DataFrame:
