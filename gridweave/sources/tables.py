@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-#: The columns that may name a study, in order of preference.
-STUDY_KEYS = ["protocol_id", "nct_id", "d4k_folder"]
+#: The columns that may name a study, in order of preference; a caller may give more.
+STUDY_KEYS = ("protocol_id", "nct_id")
 WORDS = "_xMin double, _yMin double, _xMax double, _yMax double, _VALUE string"
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A manifest table (CSV with a header, or Parquet) with study_key, the first non-empty of STUDY_KEYS; rows without are dropped.
+def read_manifest(spark: SparkSession, path: str, names: tuple[str, ...] = STUDY_KEYS) -> DataFrame:
+    """A manifest table (CSV with a header, or Parquet) with study_key, the first non-empty of names; rows without are dropped.
     A file that cannot be read gives an empty manifest."""
     try:
         df = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", True).csv(path)
     except AnalysisException:
         return spark.createDataFrame([], "study_key string")
-    keys = [F.nullif(F.trim(F.col(k).cast("string")), F.lit("")) for k in STUDY_KEYS if k in df.columns]
+    keys = [F.nullif(F.trim(F.col(k).cast("string")), F.lit("")) for k in names if k in df.columns]
     if not keys:
         return spark.createDataFrame([], "study_key string")
     return df.withColumn("study_key", F.coalesce(*keys)).where("study_key is not null")
