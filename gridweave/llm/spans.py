@@ -193,14 +193,25 @@ def _cut(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """mini, doc_id, start, piece: the strings of the wanted super-k-mers. The list of one document is as long as its text."""
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "mini")).alias("w"))
 
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        columns = [np.concatenate([h[i] for h in held]) for i in range(3)]
+        pieces = pa.array([p for h in held for p in h[3]], pa.string())
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), pieces], names=["mini", "doc_id", "start", "piece"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text, want in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                want = want.values
-                start, n, mini = (want.field(i).to_numpy() for i in range(3))
-                pieces = [text[s : s + c + k - 1] for s, c in zip(start.tolist(), n.tolist())]
-                cols = [pa.array(mini), pa.array(np.full(len(n), doc)), pa.array(start), pa.array(pieces, pa.string())]
-                yield pa.RecordBatch.from_arrays(cols, names=["mini", "doc_id", "start", "piece"])
+            held: list[tuple] = []
+            size = 0
+            for doc, text, want in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                start, n, mini = (want.values.field(i).to_numpy() for i in range(3))
+                text = text.as_py()
+                held.append((mini, np.full(len(n), doc), start, [text[s : s + c + k - 1] for s, c in zip(start.tolist(), n.tolist())]))
+                size += int(n.sum()) + len(n) * (k - 1)
+                if size > 4 * CHUNK:
+                    yield packed(held)
+                    held, size = [], 0
+            if held:
+                yield packed(held)
 
     return map_arrow(docs.join(lists, "doc_id").select("doc_id", "text", "w"), run, "mini long, doc_id long, start int, piece string")
 
@@ -242,13 +253,25 @@ def _by_windows(pieces: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, start, text in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                cp = code_points([text])
-                h = np.stack([rolling(cp, k, b) for b in BASES], 1)
-                raw = h.tobytes()
-                key = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(h), [None, pa.py_buffer(raw)]).cast(pa.binary())
-                pos = np.arange(start, start + len(h), dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([key, pa.array(np.full(len(h), doc)), pa.array(pos)], names=["key", "doc_id", "pos"])
+            docs, starts = (batch.column(i).to_numpy() for i in (1, 2))
+            texts = batch.column(3).to_pylist()
+            begin = 0
+            while begin < len(texts):
+                end, size = begin, 0
+                while end < len(texts) and (end == begin or size + len(texts[end]) <= CHUNK):
+                    size += len(texts[end])
+                    end += 1
+                cp = code_points(texts[begin:end])
+                lengths = np.array([len(t) for t in texts[begin:end]], np.int64)
+                per = np.maximum(lengths - k + 1, 0)
+                owner = np.repeat(np.arange(end - begin), per)
+                offset = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
+                place = (np.cumsum(lengths) - lengths)[owner] + offset
+                raw = np.stack([rolling(cp, k, b)[place] for b in BASES], 1).tobytes()
+                key = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(owner), [None, pa.py_buffer(raw)]).cast(pa.binary())
+                pos = (starts[begin:end][owner] + offset).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([key, pa.array(docs[begin:end][owner]), pa.array(pos)], names=["key", "doc_id", "pos"])
+                begin = end
 
     rows = materialise(map_arrow(pieces, run, "key binary, doc_id long, pos int"), "windows")
     hot = hot_keys(rows.select("key"), "key")
