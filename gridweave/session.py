@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -34,6 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     own = spark.conf.get("gridweave.shared.dir", None)
     if own is None:
         own = tempfile.mkdtemp(prefix="gridweave-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
         spark.conf.set("gridweave.shared.dir", own)
         spark.sparkContext.setCheckpointDir(own)
     return own
