@@ -26,3 +26,11 @@ def grid(df: DataFrame, row: list[str], column: str, value: str, columns: list,
     """One row a row of the grid, a column for each of the given column keys."""
     wide = df.groupBy(*row).pivot(column, columns).agg(F.max(value))
     return wide.select(*row, *[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in columns])
+
+
+def grid_map(df: DataFrame, row: list[str], column: str, value: str) -> DataFrame:
+    """One row a row of the grid, with cells, a map from each column key that the row has to its value; a row whose cells all
+    lack a column key has an empty map."""
+    each = df.groupBy(*row, column).agg(F.max(value).alias("_v"))
+    cell = F.when(F.col(column).isNotNull(), F.struct(column, "_v"))
+    return each.groupBy(*row).agg(F.map_from_entries(F.sort_array(F.collect_list(cell))).alias("cells"))

@@ -234,6 +234,13 @@ def schedule_grid(spark, sf):
     return matrix.grid(T(spark, sf, "schedule_cells"), [*_KEY2, "row_position"], "column_position", "cell_value", list(range(2, 10)))
 
 
+@query("""WITH each AS (SELECT protocol_id, table_number, row_position, column_position, max(cell_value) v FROM schedule_cells GROUP BY ALL)
+ SELECT protocol_id, table_number, row_position,
+  map_from_entries(coalesce(list({'k': column_position, 'v': v} ORDER BY column_position) FILTER (column_position IS NOT NULL), [])) cells FROM each GROUP BY ALL""")
+def schedule_grid_map(spark, sf):
+    return matrix.grid_map(T(spark, sf, "schedule_cells"), [*_KEY2, "row_position"], "column_position", "cell_value")
+
+
 @query(f"""SELECT cell_id FROM schedule_cells c WHERE NOT EXISTS (SELECT 1 FROM soa_activities a WHERE a.protocol_id = c.protocol_id AND a.table_number = c.table_number AND a.row_position = c.row_position)""")
 def cells_without_row(spark, sf):
     place = [*_KEY2, "row_position"]

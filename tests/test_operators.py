@@ -295,3 +295,9 @@ def test_reports(spark):
     assert one(spark, report.percent_less(F.lit(7), F.lit(8))) == 12 and one(spark, report.percent_less(F.lit(1), F.lit(0))) == 0
     df = spark.createDataFrame([("a", "Panel x", True), ("b", "other", True), ("c", "PANEL", False)], "i string, n string, m boolean")
     assert [r["i"] for r in report.search(df, ["n"], needle="panel", need=["m"]).collect()] == ["a"]
+
+
+def test_grid_map_keeps_every_column(spark):
+    cells = [("a", 1, "x"), ("a", 10, "y"), ("a", 10, "z"), ("a", 250, None), ("b", None, "lost")]
+    got = matrix.grid_map(spark.createDataFrame(cells, "row string, col int, v string"), ["row"], "col", "v")
+    assert {r["row"]: r["cells"] for r in got.collect()} == {"a": {1: "x", 10: "z", 250: None}, "b": {}}
