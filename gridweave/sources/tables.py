@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from gridweave.session import map_arrow
+
 #: The columns that may name a study, in order of preference; a caller may give more.
 STUDY_KEYS = ("protocol_id", "nct_id")
 WORDS = "_xMin double, _yMin double, _xMax double, _yMax double, _VALUE string"
@@ -34,8 +40,6 @@ def merge_sheets(studies: DataFrame, sheet: DataFrame, columns: list[str]) -> Da
 
 def read_descriptor(spark: SparkSession, path: str) -> dict:
     """A collection's descriptor (one small JSON document) as a dict; {} if there is none."""
-    import json
-
     try:
         rows = spark.read.text(path, wholetext=True).limit(1).collect()
     except AnalysisException:
@@ -43,23 +47,36 @@ def read_descriptor(spark: SparkSession, path: str) -> dict:
     return json.loads(rows[0][0]) if rows else {}
 
 
-def tool_calls(lines: DataFrame, text: str = "value") -> DataFrame:
-    """tool, input of every object with type tool_use in JSON lines, however deep it stands; lines that are no JSON give none.
-
-    The walk opens arrays and objects of the variant level by level, as far as content of messages goes (three levels)."""
-    v = lines.select(F.try_parse_json(F.col(text)).alias("v")).where("v is not null")
-    found = None
-    level = v
-    for _ in range(4):
-        kind, name = F.try_variant_get("v", "$.type", "string"), F.try_variant_get("v", "$.name", "string")
-        here = level.where(kind == "tool_use").select(name.alias("tool"), F.to_json(F.try_variant_get("v", "$.input", "variant")).alias("input"))
-        found = here if found is None else found.unionByName(here)
-        items = F.try_variant_get("v", "$", "array<variant>")
-        fields = F.try_variant_get("v", "$", "map<string,variant>")
-        level = level.select(F.explode(F.coalesce(items, F.map_values(fields))).alias("v"))
+def _tool_uses(text: str | None) -> list[tuple[str | None, str | None]]:
+    """Name and input (as JSON) of every tool_use object in a line, outer ones first."""
+    try:
+        stack = [json.loads(text or "")]
+    except (ValueError, RecursionError):
+        return []
+    found = []
+    while stack:
+        node = stack.pop()
+        if isinstance(node, dict):
+            if node.get("type") == "tool_use":
+                name, given = node.get("name"), node.get("input")
+                found.append((name if isinstance(name, str) or name is None else json.dumps(name), None if given is None else json.dumps(given, ensure_ascii=False, separators=(",", ":"))))
+            stack.extend(reversed(node.values()))
+        elif isinstance(node, list):
+            stack.extend(reversed(node))
     return found
 
 
+def tool_calls(lines: DataFrame, text: str = "value") -> DataFrame:
+    """tool, input of every object with type tool_use in JSON lines, however deep it stands; lines that are no JSON give none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [u for t in b.column(0).to_pylist() for u in _tool_uses(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in (0, 1)], names=["tool", "input"])
+
+    return map_arrow(lines.select(text), run, "tool string, input string")
+
+
 def json_strings(docs: DataFrame, text: str) -> DataFrame:
     """doc_text_sha, value: every string that stands in a JSON text, decoded."""
     literal = r'"(?:[^"\\]++|\\.)*+"\s*+:?'

@@ -227,3 +227,11 @@ def test_no_core_module_imports_the_llm_package():
         if "llm" not in p.relative_to(root).parts:
             assert "gridweave.llm" not in p.read_text(), p
     assert os.path.exists(root / "plans" / "catalogue.py")
+
+
+def test_tool_calls_at_any_depth(spark):
+    deep = {"type": "tool_use", "name": "Deep", "input": {"a": ["é", {"type": "tool_use", "name": "Inner", "input": {}}]}}
+    for _ in range(30):
+        deep = {"message": [deep]}
+    lines = spark.createDataFrame([(json.dumps(deep),), ("{broken",), (None,)], "value string")
+    assert rows(tables.tool_calls(lines), "tool", "input") == [("Deep", '{"a":["é",{"type":"tool_use","name":"Inner","input":{}}]}'), ("Inner", "{}")]
