@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from decimal import Decimal, InvalidOperation
@@ -28,6 +30,9 @@ class Child:
 #: States of the leaves. INT covers every number without fraction; INT_TEXT is a string that reads as one.
 NULL, BOOL, INT, REAL, INT_TEXT, TEXT, ABSENT = "null", "bool", "int", "real", "int_text", "text", "absent"
 
+#: Names of shapes longer than this stand as a hash, so that names of deep values do not grow with the square of their depth.
+LONG_NAME = 4000
+
 SCHEMA = (
     "record_id long, child_name string, parent_pos int, child_pos int, variant string, carrier string, "
     "int_value struct<value:long>, text_value struct<value:string>"
@@ -70,7 +75,32 @@ def plain(value: object) -> str:
             return str(value)
     if isinstance(value, int):
         return str(value)
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"), default=plain)
+    try:
+        return json.dumps(value, ensure_ascii=False, separators=(",", ":"), default=plain)
+    except RecursionError:
+        return _deep_text(value)
+
+
+def _deep_text(value: object) -> str:
+    """Compact JSON of a value of any depth, as json.dumps writes it."""
+    out: list[str] = []
+    stack: list[tuple[bool, object]] = [(False, value)]
+    while stack:
+        ready, x = stack.pop()
+        if ready:
+            out.append(x)  # type: ignore[arg-type]
+        elif isinstance(x, (dict, list)):
+            parts: list[tuple[bool, object]] = [(True, "{" if isinstance(x, dict) else "[")]
+            for i, y in enumerate(x):
+                sign = "," if i else ""
+                if isinstance(x, dict):
+                    parts += [(True, f"{sign}{json.dumps(y, ensure_ascii=False)}:"), (False, x[y])]
+                else:
+                    parts += [(True, sign), (False, y)]
+            stack.extend(reversed([*parts, (True, "}" if isinstance(x, dict) else "]")]))
+        else:
+            out.append(json.dumps(x, ensure_ascii=False, default=plain))
+    return "".join(out)
 
 
 class ShapeAutomaton:
@@ -92,16 +122,30 @@ class ShapeAutomaton:
         return INT_TEXT if (t := v[1:] if v[:1] == "-" else v) and len(t) < 40 and t.isascii() and t.isdigit() else TEXT
 
     def state(self, v: object) -> str:
-        if isinstance(v, dict):
-            key: object = ("obj", frozenset((k, self.state(x)) for k, x in v.items()))
-        elif isinstance(v, list):
-            key = ("list", frozenset(self.state(x) for x in v))
-        else:
-            return self.leaf(v)
+        """The state of a value, worked out without recursion: a container stands on the stack until its parts have theirs."""
+        done: list[str] = []
+        stack: list[tuple[object, bool]] = [(v, False)]
+        while stack:
+            x, opened = stack.pop()
+            if not isinstance(x, (dict, list)):
+                done.append(self.leaf(x))
+            elif not opened:
+                stack.append((x, True))
+                stack.extend((y, False) for y in (x.values() if isinstance(x, dict) else x))
+            else:
+                parts = done[len(done) - len(x) :]
+                del done[len(done) - len(x) :]
+                parts.reverse()
+                done.append(self._name(("obj", frozenset(zip(x, parts))) if isinstance(x, dict) else ("list", frozenset(parts))))
+        return done[0]
+
+    def _name(self, key: tuple[str, frozenset]) -> str:
         found = self.rules.get(key)
         if found is None:
-            kind, parts = key  # type: ignore[misc]
+            kind, parts = key
             inside = ",".join(sorted(f"{p[0]}:{p[1]}" if kind == "obj" else p for p in parts))
+            if len(inside) > LONG_NAME:
+                inside = f"deep:{hashlib.sha256(inside.encode(errors='surrogatepass')).hexdigest()[:32]}"
             found = self.rules[key] = "{" + inside + "}" if kind == "obj" else "[" + inside + "]"
         return found
 
@@ -163,16 +207,14 @@ def flatten(records: DataFrame, record_id: str, payload: str, children: list[Chi
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.set_int_max_str_digits(0)  # integers of any length are JSON
         automaton = ShapeAutomaton()
         for batch in batches:
             rows: list[tuple] = []
             for rid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ok, root = parse(text.as_py())
                 if ok:
-                    try:
-                        rows.extend(list(unnest(rid, root, children, automaton)))
-                    except RecursionError:
-                        pass
+                    rows.extend(unnest(rid, root, children, automaton))
             cols = list(zip(*rows)) if rows else [()] * len(_ARROW)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _ARROW)], schema=_ARROW)
             if len(automaton.rules) > 100_000:

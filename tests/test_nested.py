@@ -59,3 +59,12 @@ def test_write_variants(spark, tmp_path):
     nested.write_variants(flat, str(tmp_path / "v"))
     back = spark.read.parquet(str(tmp_path / "v"))
     assert back.where("child_name = 'referenced_xacts' and subtype = 'int'").count() == 1
+
+
+def test_deep_values_and_long_integers_lose_no_rows(spark):
+    deep = "[" * 3000 + "1" + "]" * 3000
+    objects = '{"a":' * 3000 + "1" + "}" * 3000
+    doc = '{"unified_annotations": [{"referenced_xacts": ["x1", %s, %s, %s, "x2"]}]}' % (deep, objects, "9" * 5000)
+    got, flat = rows(spark, [doc])
+    assert [g[4] for g in got] == ["x1", deep, objects, "9" * 5000, "x2"]
+    assert nested.variants(flat).where("variant like '%deep:%'").count() == 2
