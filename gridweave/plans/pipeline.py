@@ -15,6 +15,9 @@ from gridweave.plans import consolidate, corrections, inventory, resolve, valida
 from gridweave.session import materialise
 from gridweave.sources import documents, sinks, tables
 
+#: Findings that are listed as messages, in order; error_counts() counts all.
+LISTED = 1000
+
 
 @dataclass
 class Context:
@@ -23,13 +26,17 @@ class Context:
     spark: SparkSession
     root: str
     results: dict[str, Any] = field(default_factory=dict)
-    errors: list[tuple[str, str]] = field(default_factory=list)
+    errors: list[tuple[str, str]] = field(default_factory=list)  # messages; of findings the first LISTED
+    listed: slice = field(default_factory=lambda: slice(0, 0))  # where findings stand in errors
     counters: dict[str, int] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
 
     def error_counts(self) -> DataFrame:
-        """step, n of the collected errors."""
-        return self.spark.createDataFrame(self.errors, "step string, message string").groupBy("step").agg(F.count(F.lit(1)).alias("n"))
+        """step, n of the errors: of all findings, whatever part of them errors lists, and of those that steps add to errors."""
+        own = self.spark.createDataFrame(self.errors[: self.listed.start] + self.errors[self.listed.stop :], "step string, message string").select("step")
+        if "validate" in self.results:
+            own = own.unionByName(self.results["validate"].where("severity = 'error'").select("step"))
+        return own.groupBy("step").agg(F.count(F.lit(1)).alias("n"))
 
 
 Step = Callable[[Context], Any]
@@ -84,7 +91,9 @@ def run(spark: SparkSession, root: str, out: str | None = None, steps: list[tupl
         ctx.counters[name] = ctx.counters.get(name, 0) + 1
     if "validate" in ctx.results:
         found = ctx.results["validate"]
-        ctx.errors += [(r["step"], f"{r['protocol_id']}: {r['subject']}") for r in found.where("severity = 'error'").limit(1000).collect()]
+        first = found.where("severity = 'error'").orderBy("protocol_id", "step", "subject").limit(LISTED).collect()
+        ctx.errors += [(r["step"], f"{r['protocol_id']}: {r['subject']}") for r in first]
+        ctx.listed = slice(len(ctx.errors) - len(first), len(ctx.errors))
         if out:
             bad = found.where("severity = 'error'").select("protocol_id").distinct()
             sinks.write_tables(ctx.results["resolve"].all() | {"status": resolve.table_status(ctx.results["resolve"])}, f"{out}/resolved", ["protocol_id"])

@@ -235,3 +235,9 @@ def test_tool_calls_at_any_depth(spark):
         deep = {"message": [deep]}
     lines = spark.createDataFrame([(json.dumps(deep),), ("{broken",), (None,)], "value string")
     assert rows(tables.tool_calls(lines), "tool", "input") == [("Deep", '{"a":["é",{"type":"tool_use","name":"Inner","input":{}}]}'), ("Inner", "{}")]
+
+
+def test_error_counts_count_all_findings(spark, tmp_path):
+    found = spark.range(2500).selectExpr("'P' protocol_id", "'error' severity", "if(id < 1500, 'a', 'b') step", "cast(id as string) subject")
+    ctx = pipeline.run(spark, str(tmp_path), steps=[("early", lambda c: c.errors.append(("early", "x"))), ("validate", lambda c: found)])
+    assert rows(ctx.error_counts(), "step", "n") == [("a", 1500), ("b", 1000), ("early", 1)] and len(ctx.errors) == 1001
