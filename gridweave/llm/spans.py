@@ -9,15 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridweave.operators.skew import hot_keys, is_in
+from gridweave.operators.skew import hot_keys, is_in, lookup_join
 from gridweave.session import map_arrow, materialise
 
 #: Length of the strings whose smallest hash in a window is its minimiser.
 MINIMISER = 64
 #: Code points that are hashed, and that are sorted as windows, at a time.
 CHUNK = 1_000_000
-#: Super-k-mers of one minimiser that one task sorts; the windows of larger buckets are spread by their own hash.
-BUCKET_ROWS = 20_000
+#: Code points of one minimiser's super-k-mers that one task sorts; the windows of larger buckets are spread by their own hash.
+BUCKET_SIGNS = 2_000_000
 
 #: Odd bases of two polynomial hashes modulo 2^64, and the constants of a 64-bit finaliser.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -247,18 +247,17 @@ def _in_buckets(pieces: DataFrame, k: int) -> DataFrame:
     return map_arrow(pieces.repartition("mini").sortWithinPartitions("mini"), run, _SPAN)
 
 
-def _by_windows(pieces: DataFrame, k: int) -> DataFrame:
-    """Shared stretches of the super-k-mers in buckets too large for one task: every window goes by its own 128-bit hash, with
-    partial aggregation of the smallest and largest document; hot windows come back by broadcast."""
+def _window_rows(pieces: DataFrame, k: int, hash_bytes: int) -> DataFrame:
+    """key, sha, off, run, a, b of the windows of pieces (sha, piece, a, b): neighbouring windows that are equal, as they are in a
+    stretch of one repeated sign, are one row with their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, starts = (batch.column(i).to_numpy() for i in (1, 2))
-            texts = batch.column(3).to_pylist()
+            texts = batch.column(1).to_pylist()
             begin = 0
             while begin < len(texts):
                 end, size = begin, 0
-                while end < len(texts) and (end == begin or size + len(texts[end]) <= CHUNK):
+                while end < len(texts) and (end == begin or size + len(texts[end]) <= CHUNK // 4):
                     size += len(texts[end])
                     end += 1
                 cp = code_points(texts[begin:end])
@@ -267,18 +266,77 @@ def _by_windows(pieces: DataFrame, k: int) -> DataFrame:
                 owner = np.repeat(np.arange(end - begin), per)
                 offset = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
                 place = (np.cumsum(lengths) - lengths)[owner] + offset
-                raw = np.stack([rolling(cp, k, b)[place] for b in BASES], 1).tobytes()
-                key = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(owner), [None, pa.py_buffer(raw)]).cast(pa.binary())
-                pos = (starts[begin:end][owner] + offset).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([key, pa.array(docs[begin:end][owner]), pa.array(pos)], names=["key", "doc_id", "pos"])
+                # a window equals the one before it if and only if both are one sign throughout
+                changes = np.concatenate([[0], np.cumsum(cp[1:] != cp[:-1])])
+                flat = changes[place + k - 1] == changes[place]
+                again = np.zeros(len(owner), bool)
+                again[1:] = flat[1:] & flat[:-1] & (owner[1:] == owner[:-1]) & (cp[place[1:] + k - 1] == cp[place[1:] - 1])
+                first = np.flatnonzero(~again)
+                run_length = np.diff(np.append(first, len(owner)))
+                raw = np.stack([rolling(cp, k, b)[place[first]] for b in BASES], 1).view(np.uint8).reshape(-1, 16)[:, :hash_bytes]
+                key = pa.FixedSizeBinaryArray.from_buffers(pa.binary(hash_bytes), len(first), [None, pa.py_buffer(raw.tobytes())]).cast(pa.binary())
+                at = pa.array(begin + owner[first])
+                cols = [key, batch.column(0).take(at), pa.array(offset[first].astype(np.int32)), pa.array(run_length.astype(np.int32)), batch.column(2).take(at), batch.column(3).take(at)]
+                yield pa.RecordBatch.from_arrays(cols, names=["key", "sha", "off", "run", "a", "b"])
                 begin = end
 
-    rows = materialise(map_arrow(pieces, run, "key binary, doc_id long, pos int"), "windows")
-    hot = hot_keys(rows.select("key"), "key")
-    ends = rows.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("key")
-    cold = rows.where(~is_in("key", hot)).join(ends.where(~is_in("key", hot)), "key", "left_semi")
-    both = cold.unionByName(rows.where(is_in("key", hot)).join(F.broadcast(ends.where(is_in("key", hot))), "key", "left_semi")) if hot else cold
-    return both.select("doc_id", F.col("pos").alias("start_pos"), (F.col("pos") + k).alias("end_pos"))
+    return map_arrow(pieces.select("sha", "piece", "a", "b"), run, "key binary, sha binary, off int, run int, a long, b long")
+
+
+def _stretches(hits: DataFrame, k: int) -> DataFrame:
+    """sha, off, size, alone, lead, lead_off, checked: rows of _window_rows with their lead, joined where both move on by one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            d = {n: b.column(i) for i, n in enumerate(b.schema.names)}
+            off, length, lead_off = (d[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("off", "run", "lead_off"))
+            who, lead = (d[c].dictionary_encode().indices.to_numpy(zero_copy_only=False) for c in ("sha", "lead"))
+            cut = (np.diff(who) != 0) | (np.diff(lead) != 0) | (np.diff(off) != 1) | (np.diff(lead_off) != 1) | (length[1:] > 1) | (length[:-1] > 1)
+            first = np.concatenate([[0], np.flatnonzero(cut) + 1])
+            n = np.diff(np.append(first, len(off)))
+            size = n + k - 1 + length[first] - 1
+            at = pa.array(first)
+            cols = [d["sha"].take(at), pa.array(off[first].astype(np.int32)), pa.array(size.astype(np.int32)), d["alone"].take(at), d["lead"].take(at), pa.array(lead_off[first].astype(np.int32)), pa.array((n + k - 1).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(cols, names=["sha", "off", "size", "alone", "lead", "lead_off", "checked"])
+
+    slim = hits.select("sha", "off", "run", (F.col("a") == F.col("b")).alias("alone"), "lead", "lead_off").repartition("sha").sortWithinPartitions("sha", "off")
+    return map_arrow(slim, run, "sha binary, off int, size int, alone boolean, lead binary, lead_off int, checked int")
+
+
+def _by_windows(pieces: DataFrame, k: int, hash_bytes: int = 16) -> DataFrame:
+    """Shared stretches of the super-k-mers in buckets too large for one task.
+
+    Equal super-k-mers (by SHA-256, partial aggregation) are one first: what two documents have is shared from end to end. The
+    windows of the distinct ones go by a hash, with partial aggregation of the smallest and largest document and of a lead, the first
+    of them; every stretch of windows is then compared with its leads sign by sign, and the windows of a hash that deceived are
+    compared as strings. Hot super-k-mers and hashes come back by broadcast."""
+    found = materialise(pieces.select("doc_id", "start", "piece", F.unhex(F.sha2("piece", 256)).alias("sha")), "pieces")
+    reps = materialise(found.groupBy("sha").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.first("piece").alias("piece")), "distinct")
+    hot = hot_keys(found.select("sha"), "sha")
+    places = found.select("sha", "doc_id", "start", F.char_length("piece").alias("size"))
+    whole = lookup_join(places, reps.where("a <> b").select("sha"), "sha", hot)
+    spans = whole.select("doc_id", F.col("start").alias("start_pos"), (F.col("start") + F.col("size")).alias("end_pos"))
+    rows = materialise(_window_rows(reps, k, hash_bytes), "windows")
+    ends = rows.groupBy("key").agg(F.min("a").alias("x"), F.max("b").alias("y"), F.min(F.struct("sha", "off")).alias("l"))
+    leads = ends.where("x <> y").select("key", F.col("l.sha").alias("lead"), F.col("l.off").alias("lead_off"))
+    hits = materialise(lookup_join(rows, leads, "key", hot_keys(rows.select("key"), "key")), "hits")
+    parts = materialise(_stretches(hits, k), "stretches")
+    one, two = reps.select("sha", F.col("piece").alias("p")), reps.select(F.col("sha").alias("lead"), F.col("piece").alias("q"))
+    same = F.substring("p", F.col("off") + 1, F.col("checked")) == F.substring("q", F.col("lead_off") + 1, F.col("checked"))
+    wrong = materialise(parts.where("sha <> lead or off <> lead_off").join(one, "sha").join(two, "lead").where(~same).select("sha", "off", "checked"), "deceived")
+    own = places.select("sha", "doc_id", "start")
+    alone = parts.where("alone").select("sha", "off", "size")
+    if not wrong.isEmpty():
+        from_key = hits.join(wrong.select("sha", F.col("off").alias("w"), "checked"), "sha").where(F.col("off").between(F.col("w"), F.col("w") + F.col("checked") - k))
+        keys = materialise(from_key.select("key").distinct(), "keys")
+        alone = _stretches(hits.join(keys, "key", "left_anti"), k).where("alone").select("sha", "off", "size")
+        strings = rows.join(keys, "key", "left_semi").join(one, "sha").select("sha", "off", "run", "a", "b", F.substring("p", F.col("off") + 1, F.lit(k)).alias("window"))
+        ends = strings.groupBy("window").agg(F.min("a").alias("x"), F.max("b").alias("y")).where("x <> y").select("window")
+        alone = alone.unionByName(strings.where("a = b").join(ends, "window", "left_semi").select("sha", "off", (F.col("run") - 1 + k).alias("size")))
+    met = alone.join(own, "sha").select("doc_id", (F.col("start") + F.col("off")).alias("start_pos"), (F.col("start") + F.col("off") + F.col("size")).alias("end_pos"))
+    return spans.unionByName(met)
 
 
 def merge_spans(spans: DataFrame) -> DataFrame:
@@ -289,7 +347,7 @@ def merge_spans(spans: DataFrame) -> DataFrame:
     return runs.groupBy("doc_id", "run").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).drop("run")
 
 
-def shared_spans(docs: DataFrame, doc_id: str, text: str, k: int = 200, m: int = MINIMISER, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def shared_spans(docs: DataFrame, doc_id: str, text: str, k: int = 200, m: int = MINIMISER, bucket_signs: int = BUCKET_SIGNS, hash_bytes: int = 16) -> DataFrame:
     """doc_id, start_pos, end_pos: the maximal runs of characters of a document that lie in a stretch of at least k code points
     standing in another document too.
 
@@ -298,7 +356,8 @@ def shared_spans(docs: DataFrame, doc_id: str, text: str, k: int = 200, m: int =
     2. Each text is cut into super-k-mers. Only minimiser, place and number of windows are shuffled at first; those whose
        minimiser stands in one document alone are done.
     3. The strings of the others are cut from their texts and travel, packed, to the bucket of their minimiser, where sorting
-       finds equal windows, checked sign by sign. Buckets that are hot or larger than bucket_rows are spread by window.
+       finds equal windows, checked sign by sign. Buckets that are hot or larger than bucket_signs are spread by window, with the
+       same check; hash_bytes is the length of the hash that they are spread by.
     4. The found stretches of each document are merged.
 
     Defined cases: null texts and texts shorter than k share nothing; doc_id is a key: a row repeated whole changes nothing, and
@@ -319,14 +378,14 @@ def shared_spans(docs: DataFrame, doc_id: str, text: str, k: int = 200, m: int =
     rows = materialise(_super_kmer_rows(base, k, m), "superkmers")
     hot = hot_keys(rows.select("mini"), "mini")
     by = Window.partitionBy("mini")
-    counted = rows.where(~is_in("mini", hot)).withColumns({"a": F.min("doc_id").over(by), "b": F.max("doc_id").over(by), "c": F.count(F.lit(1)).over(by)})
-    wanted = counted.where("a <> b").select("doc_id", "start", "n", "mini", (F.col("c") > bucket_rows).alias("large"))
+    counted = rows.where(~is_in("mini", hot)).withColumns({"a": F.min("doc_id").over(by), "b": F.max("doc_id").over(by), "c": F.sum(F.col("n") + (k - 1)).over(by)})
+    wanted = counted.where("a <> b").select("doc_id", "start", "n", "mini", (F.col("c") > bucket_signs).alias("large"))
     if hot:
         wanted = wanted.unionByName(rows.where(is_in("mini", hot)).select("doc_id", "start", "n", "mini", F.lit(True).alias("large")))
     wanted = materialise(wanted, "candidates")
     spans = _in_buckets(_cut(base, wanted.where("not large").drop("large"), k), k)
-    if wanted.where("large").limit(1).count():
-        spans = spans.unionByName(_by_windows(_cut(base, wanted.where("large").drop("large"), k), k))
+    if not wanted.where("large").isEmpty():
+        spans = spans.unionByName(_by_windows(_cut(base, wanted.where("large").drop("large"), k), k, hash_bytes))
     if whole is not None:
         spans = spans.unionByName(whole)
     return merge_spans(spans)

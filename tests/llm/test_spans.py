@@ -42,7 +42,7 @@ def run(spark, docs, k, **kw):
     return {tuple(r) for r in spans.shared_spans(df, "doc_id", "text", k, **kw).collect()}
 
 
-@pytest.mark.parametrize("seed, kw", [(1, {}), (2, {}), (3, {"bucket_rows": 2}), (4, {"bucket_rows": 0})])
+@pytest.mark.parametrize("seed, kw", [(1, {}), (2, {}), (3, {"bucket_signs": 60}), (4, {"bucket_signs": 0}), (6, {"bucket_signs": 0, "hash_bytes": 1}), (7, {"bucket_signs": 0, "hash_bytes": 0})])
 def test_against_brute_force(spark, seed, kw):
     docs = corpus(seed)
     assert run(spark, docs, 30, m=10, **kw) == brute(docs, 30)
@@ -55,6 +55,19 @@ def test_hot_minimisers_and_windows(spark, make_hot):
     assert run(spark, docs, 30, m=10) == brute(docs, 30)
 
 
+def test_large_buckets_of_one_sign_and_of_boilerplate(spark):
+    """Texts of one repeated sign, each of its own length, and texts around one boilerplate: as many windows as signs, few of them different."""
+    docs = [(i, "a" * (200 + 7 * i)) for i in range(400)]
+    got = run(spark, docs, 200, bucket_signs=1000)
+    assert got == {(i, 0, 200 + 7 * i) for i in range(400)}
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    plate = noise(1500)
+    docs = [(i, noise(100 + i) + plate + noise(50)) for i in range(200)]
+    got = run(spark, docs, 200, bucket_signs=5000)
+    assert len(got) == 200 and all(a <= 100 + d and b >= 1600 + d and b - a < 1520 for d, a, b in got)
+
+
 def test_edges(spark):
     assert run(spark, [], 30, m=10) == set()
     text = "a text that is long enough to hold a window"
