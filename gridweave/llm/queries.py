@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridweave.llm import collapse, entities, packing, spans, tokens
+from gridweave.session import materialise
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _notes(spark: SparkSession, sf: str) -> DataFrame:
+def _notes(spark: SparkSession, sf: str, carried: tuple[str, ...] = ()) -> DataFrame:
     kind, text = collapse.note_key(F.col("annotation_type"), F.col("annotation_text"))
-    carry = {c: F.col(c) for c in ("protocol_id", "amendment", "occurrence_count")}
+    carry = {c: F.col(c) for c in carried}
     parts = [F.col("protocol_id"), F.col("amendment"), kind]
     return collapse.keyed(table(spark, sf, "unified_annotations"), "ann_key", parts, text, carry)
 
@@ -24,7 +25,7 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_notes(spark: SparkSession, sf: str) -> DataFrame:
-    return collapse.collapse(_notes(spark, sf), "occurrence_count").select(
+    return collapse.collapse(_notes(spark, sf, ("protocol_id", "amendment", "occurrence_count")), "occurrence_count").select(
         "keep_key", "protocol_id", "amendment", "n_copies", F.col("total").alias("sum_occurrences")
     )
 
@@ -61,8 +62,31 @@ def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.encode(table(spark, sf, "documents"), "doc_id", "text")
 
 
+#: What a container of p7 holds: 2,048 tokens, 256 documents, and the attention cost of one document that fills it, so that no
+#: document within 2,048 tokens is split for its attention.
+CONTAINER = packing.Capacity(tokens=2048, documents=256, attention=2048**2, weights=(1.0, 1e-3, 1e-3))
+
+
 def p7_containers(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack_texts(table(spark, sf, "documents"), "doc_id", "text", tokens.VOCABULARY)
+    return packing.pack_texts(table(spark, sf, "documents"), "doc_id", "text", tokens.VOCABULARY, CONTAINER)
+
+
+def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """What the containers hold, checked: one row with how many documents are placed whole, in pieces and out of order, and how
+    many containers break a capacity or overlap."""
+    placed = materialise(p7_containers(spark, sf), "placed")
+    sizes = tokens.count(table(spark, sf, "documents"), "doc_id", "text", tokens.VOCABULARY)
+    by_doc = placed.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("pieces"), F.max("piece").alias("last"))
+    docs = sizes.join(by_doc, "doc_id", "left").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.count_if(F.col("n") == F.col("n_tokens")).alias("n_complete"),
+        F.count_if((F.col("n_tokens") <= CONTAINER.tokens) & (F.col("pieces") > 1)).alias("n_split_needlessly"), F.count_if(F.col("last") != F.col("pieces")).alias("n_gaps"),
+    )
+    inside = Window.partitionBy("container").orderBy("place")
+    ends = placed.withColumn("late", (F.col("start_token") != F.coalesce(F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).cast("int"))
+    full = ends.groupBy("container").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("d"), F.sum(F.col("n_tokens").cast("long") * F.col("n_tokens")).alias("a"), F.max("late").alias("late"))
+    broken = (F.col("t") > CONTAINER.tokens) | (F.col("d") > CONTAINER.documents) | (F.col("a") > CONTAINER.attention)
+    bins = full.agg(F.count_if(broken).alias("n_broken"), F.coalesce(F.sum("late"), F.lit(0)).alias("n_overlapping"), (F.count(F.lit(1)) - F.ceil(F.sum("t") / CONTAINER.tokens) <= F.ceil(F.count(F.lit(1)) * 0.01)).alias("near_bound"))
+    return docs.crossJoin(bins)  # one row beside one row
 
 
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,7 +99,7 @@ def p8_share(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_notes": p2_notes, "p5_found": p5_found, "p5_confidence": p5_confidence, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_share": p8_share,
+    "p2_found": p2_found, "p2_notes": p2_notes, "p5_found": p5_found, "p5_confidence": p5_confidence, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_found": p8_found, "p8_share": p8_share,
 }
 
 _P2 = r"""
@@ -101,6 +125,8 @@ found AS (SELECT doc_id, min(p)::INTEGER start_pos, (max(p) + 200)::INTEGER end_
 """
 
 SQL = {
+    "p7_fill": """SELECT count(*) n_documents, count(*) n_complete, 0::BIGINT n_split_needlessly, 0::BIGINT n_gaps, 0::BIGINT n_broken,
+      0::BIGINT n_overlapping, true near_bound FROM documents""",
     "p8_found": _P8 + "SELECT * FROM found",
     "p8_share": _P8 + """SELECT d.doc_id, coalesce(length(text), 0)::INTEGER n_chars, coalesce(s, 0)::BIGINT n_shared,
       CASE WHEN length(text) > 0 THEN coalesce(s, 0) / length(text) ELSE 0.0 END AS share

@@ -37,7 +37,7 @@ def pack(spark, sizes, cap):
     return [tuple(r) for r in packing.pack(df, "id", "n", cap).collect()]
 
 
-@pytest.mark.parametrize("cap", [Capacity(100), Capacity(100, rule="dot"), Capacity(100, documents=3), Capacity(100, attention=2500), Capacity(100, documents=4, attention=6000, rule="dot")])
+@pytest.mark.parametrize("cap", [Capacity(100), Capacity(100, rule="dot"), Capacity(100, documents=3), Capacity(100, attention=2500), Capacity(100, documents=4, attention=6000, rule="dot"), Capacity(100, attention=10_000), Capacity(100, attention=10**6, rule="dot")])
 def test_random_items(spark, cap):
     rng = random.Random(1)
     sizes = {i: rng.choice([0, 1, 7, 33, 50, 50, 99, 100, 101, 250, rng.randrange(100)]) for i in range(500)}
@@ -57,6 +57,25 @@ def test_hot_size_and_edges(spark):
     assert sorted((r["doc_id"], r["n_tokens"]) for r in got) == [(1, 0), (2, 4), (2, 4)] and len({(r["container"], r["place"]) for r in got}) == 3
 
 
+def test_hot_sizes_are_ranked_in_shares(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARE_ROWS", 7)
+    rng = random.Random(2)
+    sizes = {i: rng.choice([5, 5, 5, 0, rng.randrange(12), 25]) for i in range(400)}
+    check(pack(spark, sizes, Capacity(10)), sizes, Capacity(10))
+
+
+def test_attention_chooses_among_equal_room():
+    """Two containers with as much room: a short item goes to the one whose documents cost less, whose attention room it fills least."""
+    counts = np.zeros(101, np.int64)
+    counts[[80, 40, 20]] = [1, 2, 1]
+    places = {}
+    for att in (None, 10_000):
+        runs, bins = packing.best_fit(counts, Capacity(100, attention=att, weights=(1.0, 0.0, 1.0)))
+        places[att] = {(int(s), int(rank)): int(c) for s, rank, _, c, _, _ in runs}
+        assert bins == 2
+    assert places[10_000][20, 0] == places[10_000][80, 0] and places[None] != {}
+
+
 def test_best_fit_of_single_items():
     """With one item of each size the classes hold one container each: the plain best-fit decreasing."""
     rng = random.Random(3)
