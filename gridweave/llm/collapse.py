@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridweave.operators.skew import hot_keys, is_in
+from gridweave.session import materialise
 
 #: Shares into which the rows of a hot key are salted.
 SALTS = 64
@@ -31,12 +32,12 @@ def note_key(kind: Column, text: Column, list_kinds: tuple[str, ...] = ("abbrevi
 
 
 def keyed(rows: DataFrame, ident: str, parts: list[Column], text: Column, carry: dict[str, Column]) -> DataFrame:
-    """id, key and carried columns; the key is the SHA-256 of all parts, so of fixed width. Rows whose text is null or has
-    neither letter nor digit are no case and are left out."""
-    key = F.unhex(F.sha2(F.to_json(F.struct(*[p.cast("string").alias(f"p{i}") for i, p in enumerate([*parts, text])])), 256))
-    return rows.where(F.coalesce(text, F.lit("")) != "").select(
-        F.col(ident).alias("id"), key.alias("key"), F.struct(*[c.alias(k) for k, c in carry.items()]).alias("carry")
-    )
+    """id, key and carried columns, worked out once and kept in the shared folder; the key is the SHA-256 of all parts, so of
+    fixed width. Rows whose text is null or has neither letter nor digit are no case and are left out."""
+    key = F.unhex(F.sha2(F.to_json(F.struct(*[p.cast("string").alias(f"p{i}") for i, p in enumerate([*parts, F.col("_text")])])), 256))
+    known = rows.withColumn("_text", text).where(F.coalesce("_text", F.lit("")) != "")
+    carried = {"carry": F.struct(*[c.alias(k) for k, c in carry.items()])} if carry else {}
+    return materialise(known.select(F.col(ident).alias("id"), key.alias("key"), *[c.alias(k) for k, c in carried.items()]), "keys")
 
 
 def _aggregate(rows: DataFrame, weight: str, hot: list) -> DataFrame:
