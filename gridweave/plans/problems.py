@@ -50,13 +50,26 @@ def p1_report(spark: SparkSession, sf: str) -> DataFrame:
     return orphans.report(p1_found(spark, sf), ["src_table", "ref_month"])
 
 
+def _routed(spark: SparkSession, sf: str) -> nested.Variants:
+    return nested.route_variants(table(spark, sf, "raw_records"), "record_id", "payload", CHILDREN)
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    flat = nested.flatten(table(spark, sf, "raw_records"), "record_id", "payload", CHILDREN)
-    return flat.select("record_id", "child_name", "parent_pos", "child_pos", nested.value_text().alias("child_value"))
+    return _routed(spark, sf).supertype().select(*nested.KEYS, F.col("value").alias("child_value"))
 
 
 def p3_variants(spark: SparkSession, sf: str) -> DataFrame:
-    return nested.variants(nested.flatten(table(spark, sf, "raw_records"), "record_id", "payload", CHILDREN))
+    return nested.variants(_routed(spark, sf).supertype(), ["child_name", "subtype"])
+
+
+def p3_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    return nested.variants(_routed(spark, sf).supertype(), ["child_name", "variant"])
+
+
+def p3_table_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """One typed subtype table: occurrences whose table number is an integer, joined to its parent by position."""
+    ints = _routed(spark, sf).table("source_occurrences", "int")
+    return ints.groupBy("record_id", "parent_pos").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
 
 def _packed(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,6 +92,7 @@ def p4_dialects(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_report": p1_report, "p3_found": p3_found, "p3_variants": p3_variants,
+    "p3_shapes": p3_shapes, "p3_table_numbers": p3_table_numbers,
     "p4_found": p4_found, "p4_dialects": p4_dialects,
 }
 
@@ -143,15 +157,19 @@ opened2 AS (
     WHEN json_type(c) = 'ARRAY' THEN c WHEN json_type(c) = 'NULL' THEN NULL ELSE json_array(c) END c FROM children WHERE c IS NOT NULL),
 elements AS (
   SELECT record_id, parent_pos, child_name, generate_subscripts(from_json(c, '["JSON"]'), 1) child_pos, unnest(from_json(c, '["JSON"]')) e
-  FROM opened2 WHERE c IS NOT NULL)
-SELECT record_id, child_name, parent_pos::INTEGER parent_pos, child_pos::INTEGER child_pos, child_value FROM (
-  SELECT *, CASE child_name WHEN 'property_name_source' THEN e->>'$.row_position' WHEN 'source_occurrences' THEN e->>'$.table_num' ELSE e->>'$' END child_value
-  FROM elements) WHERE child_value IS NOT NULL
+  FROM opened2 WHERE c IS NOT NULL),
+found AS (SELECT record_id, child_name, parent_pos::INTEGER parent_pos, child_pos::INTEGER child_pos, child_value, json_type(v) kind FROM (
+  SELECT *, v->>'$' child_value FROM (SELECT *, CASE child_name WHEN 'property_name_source' THEN e->'$.row_position' WHEN 'source_occurrences' THEN e->'$.table_num' ELSE e END v
+  FROM elements)) WHERE child_value IS NOT NULL),
+typed AS (SELECT *, CASE WHEN kind IN ('BIGINT', 'UBIGINT') OR (kind = 'VARCHAR' AND regexp_full_match(child_value, '-?[1-9][0-9]{0,17}|0')) THEN 'int'
+  WHEN kind = 'BOOLEAN' THEN 'flag' WHEN kind = 'VARCHAR' THEN 'text' WHEN kind = 'DOUBLE' THEN 'number' ELSE 'json' END subtype FROM found)
 """
 
 SQL = {
     "p1_found": _P1 + "SELECT * FROM found",
     "p1_report": _P1 + "SELECT src_table, ref_month, reason, count(*) n_refs FROM found GROUP BY ALL",
-    "p3_found": _P3,
+    "p3_found": _P3 + "SELECT record_id, child_name, parent_pos, child_pos, child_value FROM found",
+    "p3_variants": _P3 + "SELECT child_name, subtype, count(*) n_rows, count(DISTINCT record_id) n_records FROM typed GROUP BY 1, 2",
+    "p3_table_numbers": _P3 + "SELECT record_id, parent_pos, count(*) n, sum(child_value::BIGINT)::BIGINT total FROM typed WHERE child_name = 'source_occurrences' AND subtype = 'int' GROUP BY 1, 2",
     "p4_found": _P4,
 }
