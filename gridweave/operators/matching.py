@@ -2,28 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridweave.functions.text import contains_in_order, label_keys, norm_key, overlap_of_sets, word_set
+from gridweave.session import map_arrow, materialise
 
-#: Length of the strings by which containment is blocked; no shorter text can be looked for.
+#: Length of the strings by which containment is blocked where all texts that are looked for are as long.
 GRAM = 8
 #: Shortest label matched with marker characters around it, how many those are, and the shortest clipped label.
 LEAST_MARKED, MARKER_CHARS, LEAST_CLIPPED = 6, 4, 12
+#: Odd factors of a rolling hash and of its finaliser.
+FACTOR, MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 
 
 def overlap_join(left: DataFrame, right: DataFrame, group: list[str], left_name: str, right_name: str, least: float) -> DataFrame:
     """Pairs of a group whose names share a word and score at least `least`: all columns of both (prefixed l_, r_) and score.
 
-    A score above 0 needs a shared word, so pairs are found by an equality join on (group, word); each pair is scored once.
+    No score exceeds the share of the shorter name's words that are shared, so of a name of n words, in the order of how rare they are
+    in the group, one of the first n - ceil(least * n) + 1 stands in every longer partner. Each side's first words meet all words
+    of the other, so a common word joins only names that have no rarer one; only numbers of rows and words travel until
+    the pairs are known, and each pair is scored once.
     """
-    lcols, rcols = [c for c in left.columns if c not in group], [c for c in right.columns if c not in group]
-    a = left.select(*group, *[F.col(c).alias(f"l_{c}") for c in lcols], word_set(F.col(left_name)).alias("_wl"))
-    b = right.select(*group, *[F.col(c).alias(f"r_{c}") for c in rcols], word_set(F.col(right_name)).alias("_wr"))
-    joined = a.withColumn("_w", F.explode("_wl")).join(b.withColumn("_w", F.explode("_wr")), [*group, "_w"])
-    once = joined.where(F.col("_w") == F.array_min(F.array_intersect("_wl", "_wr")))
-    return once.withColumn("score", overlap_of_sets(F.col("_wl"), F.col("_wr"))).where(F.col("score") >= least).drop("_w", "_wl", "_wr")
+    a, b = _worded(left, group, left_name, "l"), _worded(right, group, right_name, "r")
+    words = a.select(*group, F.explode("l_w").alias("w")).unionByName(b.select(*group, F.explode("r_w").alias("w")))
+    counts = words.groupBy(*group, "w").agg(F.count(F.lit(1)).alias("c"))
+
+    def listed(df: DataFrame, side: str) -> DataFrame:
+        each = df.select(*group, f"{side}_id", F.size(f"{side}_w").alias("n"), F.explode(f"{side}_w").alias("w")).join(counts, [*group, "w"])
+        order = Window.partitionBy(*group, f"{side}_id").orderBy("c", "w")
+        lead = F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1
+        return each.withColumn("leads", F.row_number().over(order) <= lead).select(*group, "w", f"{side}_id", F.col("n").alias(f"{side}_n"), F.col("leads").alias(f"{side}_leads"))
+
+    x, y = listed(a, "l"), listed(b, "r")
+    one = x.where("l_leads").join(y, [*group, "w"]).where("l_n <= r_n")
+    two = x.join(y.where("r_leads"), [*group, "w"]).where("r_n < l_n")
+    pairs = one.select(*group, "l_id", "r_id").unionByName(two.select(*group, "l_id", "r_id")).distinct()
+    both = pairs.join(a, [*group, "l_id"]).join(b, [*group, "r_id"])
+    return both.withColumn("score", overlap_of_sets(F.col("l_w"), F.col("r_w"))).where(F.col("score") >= least).drop("l_id", "r_id", "l_w", "r_w")
+
+
+def _worded(df: DataFrame, group: list[str], name: str, side: str) -> DataFrame:
+    """The rows of a side with a number and their words, kept so that the numbers stay; rows without words match nothing."""
+    cols = [F.col(c).alias(f"{side}_{c}") for c in df.columns if c not in group]
+    named = df.select(*group, *cols, word_set(F.col(name)).alias(f"{side}_w")).where(F.size(f"{side}_w") > 0)
+    return materialise(named.withColumn(f"{side}_id", F.monotonically_increasing_id()), f"words_{side}")
 
 
 def best(pairs: DataFrame, key: list[str], score: Column, order: list[str]) -> DataFrame:
@@ -54,39 +81,127 @@ def match_score(printed: Column, key: Column) -> Column:
     )
 
 
-def label_matches(printed: DataFrame, labels: DataFrame, group: list[str], text: str, label: str) -> DataFrame:
-    """Every label tied at the best score of each distinct printed text of a group: group, text, label, kind, n.
+def _parts(n: Column, extra: int) -> list[tuple[Column, Column]]:
+    """(start from 0, length) of the extra + 1 parts of a text of n characters."""
+    cuts = [F.floor(n * i / (extra + 1)) for i in range(extra + 2)]
+    return [(cuts[i], cuts[i + 1] - cuts[i]) for i in range(extra + 1)]
 
-    Texts and keys are made distinct first, and meet within their group (a page, a table), whose size the caller knows.
-    """
-    a = printed.select(*group, text).distinct().withColumn("_p", norm_key(F.col(text))).where("_p <> ''")
-    b = labels.select(*group, label).distinct().withColumn("_k", F.explode(label_keys(F.col(label))))
-    scored = a.join(b, group).withColumn("_s", match_score(F.col("_p"), F.col("_k"))).where("_s.kind > 0")
-    top = all_best(scored, [*group, text], F.col("_s"))
-    return top.select(*group, text, label, F.col("_s.kind").alias("kind"), F.col("_s.n").alias("n")).distinct()
 
+def _printed_keys(p: Column) -> Column:
+    """All keys under which a label that match_score() gives a kind may stand, of a printed text in audit form: itself; its
+    beginnings; and, for a label that lacks e of its characters, each part that can have stayed whole, wherever it may have moved."""
+    keys = [F.concat(F.lit("=|"), p), F.when(F.length(p) >= LEAST_CLIPPED, F.concat(F.lit("^|"), F.substring(p, 1, LEAST_CLIPPED)))]
+    keys += [F.when(F.length(p) >= LEAST_CLIPPED, F.concat(F.lit("^|"), F.substring(p, 1, i))) for i in range(1, LEAST_CLIPPED)]
+    for extra in range(1, MARKER_CHARS + 1):
+        n = F.length(p) - extra
+        for i, (start, size) in enumerate(_parts(n, extra)):
+            for shift in range(extra + 1):
+                keys.append(F.when(n >= LEAST_MARKED, F.concat_ws("|", F.lit(f"{extra}.{i}"), n.cast("string"), F.substring(p, start + 1 + shift, size))))
+    return F.array_distinct(F.filter(F.array(*keys), lambda k: k.isNotNull()))
 
-def _grams(c: Column) -> Column:
-    """Hashes of the distinct GRAM-grams of a text."""
-    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - (GRAM - 1)))
-    return F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.substring(c, i, F.lit(GRAM)))))
 
+def _label_keys(k: Column) -> Column:
+    """The keys under which a label stands; see _printed_keys()."""
+    keys = [F.concat(F.lit("=|"), k), F.concat(F.lit("^|"), F.substring(k, 1, LEAST_CLIPPED))]
+    for extra in range(1, MARKER_CHARS + 1):
+        for i, (start, size) in enumerate(_parts(F.length(k), extra)):
+            keys.append(F.when(F.length(k) >= LEAST_MARKED, F.concat_ws("|", F.lit(f"{extra}.{i}"), F.length(k).cast("string"), F.substring(k, start + 1, size))))
+    return F.array_distinct(F.filter(F.array(*keys), lambda x: x.isNotNull()))
 
-def contains_join(needles: DataFrame, stacks: DataFrame, group: list[str], needle: str, stack: str) -> DataFrame:
-    """Pairs of a group where the text `stack` contains `needle` (at least GRAM characters): columns of needles and stacks.
 
-    Each needle travels by the (hash of the) rarest of its GRAM-grams within the group's stacks, each stack by all of its
-    own; only pairs that share the key are compared, and only hashes travel until then. Columns of both sides other than
-    group must differ in name.
+def label_matches(printed: DataFrame, labels: DataFrame, group: list[str], text: str, label: str) -> DataFrame:
+    """Every label tied at the best score of each distinct printed text of a group: group, text, label, kind, n.
+
+    Texts and labels are made distinct, and only those that share a key are compared: equal ones, beginnings, and, since of a
+    label with up to MARKER_CHARS characters between its own one of as many parts and one stays whole, its parts at their places.
+    """
+    a = printed.select(*group, text).distinct().withColumn("_p", norm_key(F.col(text))).where("_p <> ''")
+    b = labels.select(*group, label).distinct().withColumn("_k", F.explode(label_keys(F.col(label)))).where("_k <> ''")
+    asked = a.select(*group, "_p").distinct().withColumn("_key", F.explode(_printed_keys(F.col("_p"))))
+    given = b.select(*group, "_k").distinct().withColumn("_key", F.explode(_label_keys(F.col("_k"))))
+    near = asked.join(given, [*group, "_key"]).select(*group, "_p", "_k").distinct()
+    scored = near.withColumn("_s", match_score(F.col("_p"), F.col("_k"))).where("_s.kind > 0")
+    top = all_best(a.join(scored, [*group, "_p"]), [*group, text], F.col("_s"))
+    return top.join(b, [*group, "_k"]).select(*group, text, label, F.col("_s.kind").alias("kind"), F.col("_s.n").alias("n")).distinct()
+
+
+def winnow(texts: list[str], gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of the smallest hash of a gram in every window of so many neighbouring grams (a power of two), each once."""
+    cp = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    lengths = np.array([len(t) for t in texts], np.int64)
+    span = gram + window - 1
+    if len(cp) < span:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h = np.zeros(len(cp) - gram + 1, np.uint64)
+    for j in range(gram):
+        h = h * np.uint64(FACTOR) + cp[j : len(cp) - gram + 1 + j]
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(MIX)
+    h ^= h >> np.uint64(29)
+    reach = 1
+    while reach < window:
+        h = np.minimum(h[:-reach], h[reach:])
+        reach *= 2
+    per = np.maximum(lengths - span + 1, 0)
+    owner = np.repeat(np.arange(len(texts)), per)
+    place = np.repeat(np.cumsum(lengths) - lengths - (np.cumsum(per) - per), per) + np.arange(per.sum())
+    picked = h[place].view(np.int64)
+    order = np.lexsort((picked, owner))
+    owner, picked = owner[order], picked[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (np.diff(owner) != 0) | (np.diff(picked) != 0)
+    return owner[new], picked[new]
+
+
+def _grams(df: DataFrame, keep: list[str], text: str, gram: int, window: int) -> DataFrame:
+    """keep and _g, a row for each hash that winnow() picks of the text."""
+    schema = ", ".join(f"{c} {t}" for c, t in df.select(*keep).dtypes) + ", _g long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.num_columns - 1).to_pylist()
+            begin = 0
+            while begin < len(texts):
+                end, size = begin, 0
+                while end < len(texts) and (end == begin or size + len(texts[end]) <= 500_000):
+                    size += len(texts[end])
+                    end += 1
+                owner, picked = winnow(texts[begin:end], gram, window)
+                at = pa.array(begin + owner)
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(at) for i in range(len(keep))), pa.array(picked)], names=[*keep, "_g"])
+                begin = end
+
+    return map_arrow(df.select(*keep, text), run, schema)
+
+
+def contains_join(needles: DataFrame, stacks: DataFrame, group: list[str], needle: str, stack: str, least: int = GRAM) -> DataFrame:
+    """Pairs of a group where the text `stack` contains `needle`: columns of needles and stacks. `least`: a length that needles have,
+    or most of them; the longer, the fewer hashes of a stack travel, as only the smallest of each window of grams does, which a
+    needle of that length has in common with every text that holds it. Shorter needles go by shorter grams in a second pass.
+
+    Each needle travels by the rarest of its hashes within the group's stacks; only pairs that share it are compared, and only
+    hashes travel until then. Null and empty texts contain and are contained in nothing. Columns of both sides other than group
+    must differ in name.
     """
-    n = needles.where(F.length(needle) >= GRAM).withColumn("_nk", F.xxhash64(needle))
-    s = stacks.withColumn("_sk", F.xxhash64(stack))
-    in_stacks = s.select(*group, "_sk", F.explode(_grams(F.col(stack))).alias("_g"))
-    of_needle = n.select(*group, "_nk", needle).distinct().select(*group, "_nk", F.explode(_grams(F.col(needle))).alias("_g"))
-    count = in_stacks.groupBy(*group, "_g").agg(F.count(F.lit(1)).alias("_n"))
+    n = needles.where(F.length(needle) > 0).withColumn("_nk", F.xxhash64(needle))
+    s = stacks.where(F.length(stack) > 0).withColumn("_sk", F.xxhash64(stack))
+    window = 1 << max(0, (least - GRAM + 1).bit_length() - 1)
+    span = GRAM + window - 1
+    found = _contained(n.where(F.length(needle) >= span), s, group, needle, stack, GRAM, window)
+    short = n.where(F.length(needle) < span).agg(F.min(F.length(needle)).alias("n")).first()["n"]
+    if short:
+        found = found.unionByName(_contained(n.where(F.length(needle) < span), s, group, needle, stack, min(short, GRAM), 1))
+    return found
+
+
+def _contained(n: DataFrame, s: DataFrame, group: list[str], needle: str, stack: str, gram: int, window: int) -> DataFrame:
+    in_stacks = _grams(s.select(*group, "_sk", stack).distinct(), [*group, "_sk"], stack, gram, window)
+    of_needle = _grams(n.select(*group, "_nk", needle).distinct(), [*group, "_nk"], needle, gram, window)
+    wanted = in_stacks.join(of_needle.select(*group, "_g").distinct(), [*group, "_g"], "left_semi")
+    wanted = materialise(wanted, "grams")
+    count = wanted.groupBy(*group, "_g").agg(F.count(F.lit(1)).alias("_n"))
     rarest = of_needle.join(count, [*group, "_g"], "left").groupBy(*group, "_nk").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("_b"))
     by = rarest.where("_b.n > 0").select(*group, "_nk", F.col("_b._g").alias("_g"))
-    pairs = by.join(in_stacks, [*group, "_g"]).select(*group, "_nk", "_sk").distinct()
+    pairs = by.join(wanted, [*group, "_g"]).select(*group, "_nk", "_sk").distinct()
     return pairs.join(n, [*group, "_nk"]).join(s, [*group, "_sk"]).where(F.col(stack).contains(F.col(needle))).drop("_nk", "_sk")
 
 

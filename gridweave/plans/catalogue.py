@@ -420,7 +420,7 @@ def label_tiers(spark, sf):
  SELECT a.protocol_id, a.t needle, b.t stack FROM t a JOIN t b ON a.protocol_id = b.protocol_id AND a.t <> b.t AND contains(b.t, a.t)""")
 def contained_texts(spark, sf):
     t = T(spark, sf, "unified_annotations").where(F.length("annotation_text") >= 25).select("protocol_id", F.col("annotation_text").alias("needle")).distinct()
-    return matching.contains_join(t, t.withColumnRenamed("needle", "stack"), ["protocol_id"], "needle", "stack").where("needle <> stack")
+    return matching.contains_join(t, t.withColumnRenamed("needle", "stack"), ["protocol_id"], "needle", "stack", least=25).where("needle <> stack")
 
 
 @query(f"""WITH titles AS (SELECT DISTINCT protocol_id, parent_name title, {_KEY.format('parent_name')} k FROM unified_activities WHERE length({_KEY.format('parent_name')}) >= 12),
@@ -429,7 +429,7 @@ def contained_texts(spark, sf):
 def caption_title(spark, sf):
     titles = T(spark, sf, "unified_activities").select("protocol_id", F.col("parent_name").alias("title"), text.norm_key(F.col("parent_name")).alias("k")).where("length(k) >= 12").distinct()
     docs = T(spark, sf, "documents").where("protocol_id is not null and text is not null").select("protocol_id", "doc_id", text.norm_key(F.col("text")).alias("body"))
-    hits = docs.join(titles, "protocol_id").where("contains(body, k)").select("doc_id", "title", F.length("k").alias("n"))
+    hits = matching.contains_join(titles, docs, ["protocol_id"], "k", "body", least=12).select("doc_id", "title", F.length("k").alias("n"))
     return matching.longest_unique(hits, ["doc_id"], F.col("n")).select("doc_id", "title")
 
 
@@ -636,7 +636,7 @@ def verbatim_quotes(spark, sf):
     bare = lambda c: F.regexp_replace(c, f"[{WS}]", "")
     quotes = T(spark, sf, "unified_annotations").select("protocol_id", "ann_key", F.explode(F.split("annotation_text", ";")).alias("q")).select("protocol_id", "ann_key", bare(F.trim("q")).alias("q"))
     source = T(spark, sf, "soa_annotations").where("annotation_text is not null").select("protocol_id", bare(F.col("annotation_text")).alias("t")).distinct()
-    return matching.contains_join(quotes.where("length(q) between 30 and 400"), source, ["protocol_id"], "q", "t").select("ann_key", "q").distinct()
+    return matching.contains_join(quotes.where("length(q) between 30 and 400"), source, ["protocol_id"], "q", "t", least=30).select("ann_key", "q").distinct()
 
 
 # --- corrections ------------------------------------------------------------------------------------------------------------------

@@ -94,6 +94,21 @@ def test_many_levels_use_a_stack(spark, monkeypatch):
     assert got == sorted((r["i"], r["parent"]) for r in hierarchy.parent_smaller(df, ["g"], ["i"], "l", "i").collect())
 
 
+def test_two_hundred_levels(spark):
+    df = spark.createDataFrame([("p", i, i) for i in range(1, 201)] + [("p", 201, 3), ("q", 1, 2)], "g string, i int, l int")
+    up = {(r["g"], r["i"]): r["parent"] for r in hierarchy.parent_previous(df, ["g"], ["i"], "l", "i").collect()}
+    assert up == {**{("p", i): i - 1 or None for i in range(1, 201)}, ("p", 201): 2, ("q", 1): None}
+    up = {(r["g"], r["i"]): r["parent"] for r in hierarchy.parent_smaller(df, ["g"], ["i"], "l", "i").collect()}
+    assert up == {**{("p", i): i - 1 or None for i in range(1, 201)}, ("p", 201): 2, ("q", 1): None}
+
+
+def test_preorder_of_a_chain_of_a_thousand(spark):
+    rows = [("p", f"n{i}", f"n{i - 1}" if i else None, i) for i in range(1000)] + [("p", "side", "n3", 9999)]
+    df = spark.createDataFrame(rows, "g string, id string, up string, o int")
+    got = {r["id"]: r["display_order"] for r in hierarchy.preorder(df, ["g"], "id", "up", ["o"]).collect()}
+    assert got == {**{f"n{i}": i + 1 for i in range(1000)}, "side": 1001}
+
+
 def test_preorder_with_cycle_and_unknown_parent(spark):
     df = spark.createDataFrame([("p", "r", None, 1), ("p", "b", "r", 2), ("p", "a", "r", 1), ("p", "c", "a", 1), ("p", "s", "s", 1), ("p", "x", "y", 1), ("p", "y", "x", 1), ("p", "u", "nobody", 1), ("q", "r", None, 1)], "g string, id string, up string, o int")
     got = {(r["g"], r["id"]): r["display_order"] for r in hierarchy.preorder(df, ["g"], "id", "up", ["o"]).collect()}
@@ -236,7 +251,7 @@ def test_contains_join(spark):
     texts = ["".join(rng.choice("ab ") for _ in range(rng.choice([8, 12, 40]))) for _ in range(60)]
     df = spark.createDataFrame([("g", t) for t in texts] + [("g", None), ("g", "short")], "g string, n string").distinct()
     got = {(r["n"], r["s"]) for r in matching.contains_join(df, df.withColumnRenamed("n", "s"), ["g"], "n", "s").collect()}
-    assert got == {(a, b) for a in set(texts) for b in set(texts) if a in b}
+    assert got == {(a, b) for a in {*texts, "short"} for b in {*texts, "short"} if a in b}
 
 
 def brute_assign(scores, anchors):
@@ -301,3 +316,43 @@ def test_grid_map_keeps_every_column(spark):
     cells = [("a", 1, "x"), ("a", 10, "y"), ("a", 10, "z"), ("a", 250, None), ("b", None, "lost")]
     got = matrix.grid_map(spark.createDataFrame(cells, "row string, col int, v string"), ["row"], "col", "v")
     assert {r["row"]: r["cells"] for r in got.collect()} == {"a": {1: "x", 10: "z", 250: None}, "b": {}}
+
+
+def test_scored_joins_find_what_all_pairs_find(spark):
+    """Blocked joins against the product of small groups, with hot words, long and short texts, markers between letters."""
+    rng = random.Random(8)
+    words = ["visit", "visit", "visit", "blood", "count", "panel", "urine", "ab", "serum", "dose", "(x)"]
+    name = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(0, 6)))
+    left = spark.createDataFrame([(rng.choice("gh"), name(), i) for i in range(150)], "g string, a string, i int")
+    right = spark.createDataFrame([(rng.choice("gh"), name(), i) for i in range(150)], "g string, b string, i int")
+    for least in (0.5, 0.6, 0.9):
+        every = left.alias("l").join(right.alias("r"), "g").select("g", F.col("l.i").alias("x"), F.col("r.i").alias("y"), text.word_overlap(F.col("a"), F.col("b")).alias("s"))
+        want = {(r["g"], r["x"], r["y"], round(r["s"], 9)) for r in every.where(F.col("s") >= least).collect()}
+        got = {(r["g"], r["l_i"], r["r_i"], round(r["score"], 9)) for r in matching.overlap_join(left, right, ["g"], "a", "b", least).collect()}
+        assert got == want and want
+    label = lambda: "".join(rng.choice("abc") for _ in range(rng.choice([1, 3, 6, 7, 9, 13, 14])))
+    labels = [label() for _ in range(120)]
+    texts = [rng.choice(labels) for _ in range(60)]
+    for _ in range(120):
+        t = list(rng.choice(labels))
+        for _ in range(rng.randrange(6)):
+            t.insert(rng.randrange(len(t) + 1), rng.choice("abcz"))
+        texts.append("".join(t))
+    texts += [x[: rng.randrange(1, 14)] for x in labels] + [x + "tail" * rng.randrange(3) for x in labels]
+    p = spark.createDataFrame([(rng.choice("gh"), t) for t in texts], "g string, t string")
+    k = spark.createDataFrame([(rng.choice("gh"), t) for t in labels], "g string, lab string")
+    every = p.distinct().withColumn("_p", text.norm_key(F.col("t"))).join(k.distinct().withColumn("_k", F.explode(text.label_keys(F.col("lab")))), "g").withColumn("s", matching.match_score(F.col("_p"), F.col("_k"))).where("s.kind > 0")
+    want = {(r["g"], r["t"], r["lab"], r["s"]["kind"], r["s"]["n"]) for r in matching.all_best(every, ["g", "t"], F.col("s")).collect()}
+    got = {tuple(r) for r in matching.label_matches(p, k, ["g"], "t", "lab").collect()}
+    assert got == want and {w[3] for w in want} == {1, 2, 3}
+
+
+@pytest.mark.parametrize("least", [1, 8, 12, 30])
+def test_containment_of_any_length(spark, least):
+    rng = random.Random(least)
+    stacks = ["".join(rng.choice("abé🙂 ") for _ in range(rng.randrange(200))) for _ in range(40)] + ["", None]
+    needles = [s[i : i + rng.choice([1, 3, 8, 11, 25, 40])] for s in stacks if s for i in [rng.randrange(len(s))]] + ["zzzzzzzzzz", "", None]
+    a = spark.createDataFrame([("g", x) for x in needles], "g string, n string")
+    b = spark.createDataFrame([("g", x, i) for i, x in enumerate(stacks)] + [("h", needles[0], 99)], "g string, s string, i int")
+    got = sorted((r["n"], r["i"]) for r in matching.contains_join(a.distinct(), b, ["g"], "n", "s", least).collect())
+    assert got == sorted((x, i) for x in {x for x in needles if x} for i, s in enumerate(stacks) if s and x in s)
