@@ -17,7 +17,7 @@ from gridweave.session import ship
 AUTO, REVIEW, CROSS, LEAST = 0.85, 0.60, 0.90, 0.5
 
 SCHEMA = (
-    "{group}, table_number int, pos int, xact_id string, match_status string, match_confidence double, entity_parent string, "
+    "{group}, table_number int, pos {pos}, xact_id string, match_status string, match_confidence double, entity_parent string, "
     "entity_name string, entity_status string, entity_confidence double"
 )
 
@@ -132,4 +132,4 @@ def resolve_entities(df: DataFrame, group: list[str]) -> DataFrame:
         return out
 
     need = [*group, "table_number", "table_rank", "is_base", "pos", "name", "parent", "header"]
-    return df.select(*need).groupBy(*group).applyInPandas(run, SCHEMA.format(group=", ".join(f"{g} {kinds[g]}" for g in group)))
+    return df.select(*need).groupBy(*group).applyInPandas(run, SCHEMA.format(pos=kinds["pos"], group=", ".join(f"{g} {kinds[g]}" for g in group)))

@@ -209,3 +209,9 @@ def longest_unique(pairs: DataFrame, key: list[str], size: Column) -> DataFrame:
     """The pair of the greatest size of each key, if no other is as great; the size must tell the candidates apart."""
     top = all_best(pairs, key, size)
     return top.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*key))).where("_n = 1").drop("_n")
+
+
+def longest_contained(printed: DataFrame, titles: DataFrame, group: list[str], body: str, key: str, ident: list[str], least: int = GRAM) -> DataFrame:
+    """ident of each printed text with the columns of the longest title whose key it holds, if no other is as long."""
+    hits = contains_join(titles, printed, group, key, body, least)
+    return longest_unique(hits, ident, F.length(key))

@@ -22,8 +22,11 @@ def composite_label(df: DataFrame, column: list[str], value: str, order: list[st
     return df.groupBy(*column).agg(F.array_join(parts, " / ").alias("composite_label"))
 
 
-def grid(df: DataFrame, row: list[str], column: str, value: str, columns: list, prefix: str = "c") -> DataFrame:
-    """One row a row of the grid, a column for each of the given column keys."""
+def grid(df: DataFrame, row: list[str], column: str, value: str, columns: list | None = None, prefix: str = "c") -> DataFrame:
+    """One row a row of the grid, a column for each of the given column keys; without them for each that occurs, which are as many as
+    the widest table has columns."""
+    if columns is None:
+        columns = sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
     wide = df.groupBy(*row).pivot(column, columns).agg(F.max(value))
     return wide.select(*row, *[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in columns])
 

@@ -127,9 +127,13 @@ def redacted_names(spark, sf):
     return T(spark, sf, "unified_activities").where(classify.is_redacted(F.col("activity_name"))).select("act_key")
 
 
-@query("""SELECT cell_id, source_range FROM schedule_cells WHERE source_range IS NOT NULL AND NOT regexp_full_match(source_range, '(\\d+:\\d+)?')""")
+@query("""SELECT 'schedule_cells' src_table, cell_id::VARCHAR AS src_key, source_range value FROM schedule_cells WHERE source_range IS NOT NULL AND NOT regexp_full_match(source_range, '(\\d+:\\d+)?')
+ UNION ALL SELECT 'protocols', protocol_id, translate(soa_pages, '-', ':') FROM protocols WHERE soa_pages IS NOT NULL AND NOT regexp_full_match(translate(soa_pages, '-', ':'), '(\\d+:\\d+)?')""")
 def range_notation(spark, sf):
-    return T(spark, sf, "schedule_cells").where("source_range is not null").where(~classify.is_range(F.col("source_range"))).select("cell_id", "source_range")
+    """Ranges of cells and of pages that are not first:last."""
+    cells = T(spark, sf, "schedule_cells").select(F.lit("schedule_cells").alias("src_table"), F.col("cell_id").cast("string").alias("src_key"), F.col("source_range").alias("value"))
+    pages = T(spark, sf, "protocols").select(F.lit("protocols").alias("src_table"), F.col("protocol_id").alias("src_key"), F.translate("soa_pages", "-", ":").alias("value"))
+    return cells.unionByName(pages).where("value is not null").where(~classify.is_range(F.col("value")))
 
 
 @query("""SELECT act_key, CASE WHEN table_count = 1 THEN 'single' WHEN contains(match_status, 'cross') THEN 'cross' WHEN contains(match_status, 'fuzzy') THEN 'fuzzy' ELSE 'exact' END match_class FROM unified_activities""")
@@ -229,9 +233,14 @@ def composite_labels(spark, sf):
     return matrix.composite_label(T(spark, sf, "schedule_cells"), [*_KEY2, "column_position"], "cell_value", ["row_position", "cell_id"])
 
 
-@query("""SELECT protocol_id, table_number, row_position, """ + ", ".join(f"max(cell_value) FILTER (column_position = {i}) c{i}" for i in range(2, 10)) + """ FROM schedule_cells GROUP BY ALL""")
+@query("""SELECT protocol_id, table_number, row_position, column_position, max(cell_value) cell_value FROM schedule_cells WHERE column_position IS NOT NULL GROUP BY ALL""")
 def schedule_grid(spark, sf):
-    return matrix.grid(T(spark, sf, "schedule_cells"), [*_KEY2, "row_position"], "column_position", "cell_value", list(range(2, 10)))
+    """The grid with a column for each position that occurs, read back cell by cell; the SQL has every cell of every column."""
+    cells = T(spark, sf, "schedule_cells").withColumn("cell_value", F.coalesce("cell_value", F.lit("\u0000")))
+    wide = matrix.grid(cells, [*_KEY2, "row_position"], "column_position", "cell_value")
+    names = [c for c in wide.columns if c not in (*_KEY2, "row_position")]
+    long = wide.unpivot([*_KEY2, "row_position"], names, "name", "v").where("v is not null")
+    return long.select(*_KEY2, "row_position", F.substring("name", 2, 20).cast("int").alias("column_position"), F.nullif("v", F.lit("\u0000")).alias("cell_value"))
 
 
 @query("""WITH each AS (SELECT protocol_id, table_number, row_position, column_position, max(cell_value) v FROM schedule_cells GROUP BY ALL)
@@ -241,10 +250,11 @@ def schedule_grid_map(spark, sf):
     return matrix.grid_map(T(spark, sf, "schedule_cells"), [*_KEY2, "row_position"], "column_position", "cell_value")
 
 
-@query(f"""SELECT cell_id FROM schedule_cells c WHERE NOT EXISTS (SELECT 1 FROM soa_activities a WHERE a.protocol_id = c.protocol_id AND a.table_number = c.table_number AND a.row_position = c.row_position)""")
+@query(f"""SELECT cell_id FROM schedule_cells c WHERE NOT EXISTS (SELECT 1 FROM soa_activities a WHERE a.protocol_id = c.protocol_id AND a.table_number = c.table_number AND a.row_position = c.row_position AND a.source_page IS NOT NULL)""")
 def cells_without_row(spark, sf):
+    """Cells whose row is not among those that stand on a known page."""
     place = [*_KEY2, "row_position"]
-    return T(spark, sf, "schedule_cells").join(T(spark, sf, "soa_activities").select(*place).distinct(), place, "left_anti").select("cell_id")
+    return T(spark, sf, "schedule_cells").join(T(spark, sf, "soa_activities").where("source_page is not null").select(*place).distinct(), place, "left_anti").select("cell_id")
 
 
 @query(f"""SELECT row_id FROM soa_activities a WHERE EXISTS (SELECT 1 FROM schedule_cells c WHERE a.protocol_id = c.protocol_id AND a.table_number = c.table_number
@@ -391,11 +401,42 @@ def best_match(spark, sf):
     return top.select("protocol_id", "l_activity_name", "r_activity_name")
 
 
-@query()
+def fold_sql(rows: str) -> str:
+    """CTEs `fold` (protocol_id, i, e: the entities so far, ent, st, sc) and `folded` (a row for each row with its entity), of a CTE of
+    rows with protocol_id, table_number, table_rank, is_base, pos, name, parent, header. One step of the recursion is one row of every protocol."""
+    return f"""ordered AS (SELECT *, {_WORDS.format('name')} w, row_number() OVER (PARTITION BY protocol_id ORDER BY is_base DESC, table_rank, pos) i FROM {rows}),
+ fold AS (
+  SELECT protocol_id, 0::BIGINT i, []::STRUCT(name VARCHAR, w VARCHAR[], made VARCHAR, parent VARCHAR, header BOOLEAN, tabs INTEGER[], status VARCHAR, conf DOUBLE)[] e, 0::BIGINT ent, '' st, 0::DOUBLE sc
+  FROM (SELECT DISTINCT protocol_id FROM ordered)
+  UNION ALL
+  SELECT protocol_id, i, CASE WHEN ent = 0 THEN list_append(e, {{'name': name, 'w': w, 'made': parent, 'parent': parent, 'header': header, 'tabs': [table_number], 'status': 'new', 'conf': 1.0::DOUBLE}})
+    ELSE list_transform(e, lambda x, k: CASE WHEN k = ent THEN {{'name': x.name, 'w': x.w, 'made': x.made, 'parent': CASE WHEN st = 'fuzzy_cross_parent' AND x.parent <> parent THEN x.parent || ' / ' || parent ELSE x.parent END,
+      'header': x.header, 'tabs': list_append(x.tabs, table_number), 'status': st, 'conf': least(x.conf, sc)}} ELSE x END) END,
+   CASE WHEN ent = 0 THEN len(e) + 1 ELSE ent END, st, sc
+  FROM (SELECT *, CASE WHEN is_base THEN 0 WHEN kx > 0 THEN kx WHEN kn > 0 THEN kn WHEN one.s >= 0.6 THEN one.k WHEN two.s >= 0.9 THEN two.k ELSE 0 END ent,
+    CASE WHEN is_base THEN 'new' WHEN kx > 0 OR kn > 0 THEN 'exact' WHEN one.s >= 0.85 THEN 'fuzzy_auto' WHEN one.s >= 0.6 THEN 'fuzzy_review' WHEN two.s >= 0.9 THEN 'fuzzy_cross_parent' ELSE 'new' END st,
+    CASE WHEN is_base OR kx > 0 OR kn > 0 THEN 1.0 WHEN one.s >= 0.6 THEN one.s WHEN two.s >= 0.9 THEN two.s ELSE 1.0 END sc
+   FROM (SELECT *, list_sort(list_transform(list_filter(scored, lambda x: x.same), lambda x: {{'n': -x.s, 'k': x.k, 's': x.s}}))[1] one, list_sort(list_transform(list_filter(scored, lambda x: NOT x.same AND NOT x.h), lambda x: {{'n': -x.s, 'k': x.k, 's': x.s}}))[1] two
+    FROM (SELECT *, list_filter(list_transform(free, lambda x: {{'k': x.k, 'same': x.parent = parent, 'h': x.header, 's': CASE WHEN len(w) = 0 OR len(x.w) = 0 THEN 0 ELSE
+        0.6::DOUBLE * (len(list_intersect(w, x.w)) / least(len(w), len(x.w))) + 0.4::DOUBLE * (len(list_intersect(w, x.w)) / (len(w) + len(x.w) - len(list_intersect(w, x.w)))) END}}), lambda x: x.s >= 0.5) scored,
+       coalesce(list_max(list_transform(list_filter(free, lambda x: x.made = parent AND x.name = name), lambda x: x.k)), 0) kx0, coalesce(list_min(list_transform(list_filter(free, lambda x: x.name = name), lambda x: x.k)), 0) kn,
+       CASE WHEN kx0 = lastx THEN kx0 ELSE 0 END kx
+     FROM (SELECT f.e, r.*, list_filter(list_transform(f.e, lambda x, k: {{'k': k, 'name': x.name, 'w': x.w, 'made': x.made, 'parent': x.parent, 'header': x.header, 'taken': list_contains(x.tabs, r.table_number)}}), lambda x: NOT x.taken) free,
+        coalesce(list_max(list_transform(f.e, lambda x, k: CASE WHEN x.made = r.parent AND x.name = r.name THEN k ELSE 0 END)), 0) lastx
+      FROM fold f JOIN ordered r ON r.protocol_id = f.protocol_id AND r.i = f.i + 1))))),
+ ends AS (SELECT protocol_id, max_by(e, i) e FROM fold GROUP BY 1),
+ folded AS (SELECT o.protocol_id, o.table_number, o.pos, format('xact-{{:03d}}', ent) xact_id, ent, st match_status, sc match_confidence, ends.e[ent].parent entity_parent, ends.e[ent].name entity_name,
+   ends.e[ent].status entity_status, ends.e[ent].conf entity_confidence FROM fold f JOIN ordered o ON o.protocol_id = f.protocol_id AND o.i = f.i JOIN ends ON ends.protocol_id = f.protocol_id WHERE f.i > 0)"""
+
+
+@query(f"""WITH RECURSIVE {_ROWS}, upn AS (SELECT a.row_id, arg_max_null(b.activity_name, b.i) parent FROM rows a JOIN rows b
+  ON a.protocol_id = b.protocol_id AND a.table_number = b.table_number AND b.i < a.i AND b.indentation_level < a.indentation_level GROUP BY a.row_id),
+ given AS (SELECT protocol_id, table_number, table_number table_rank, table_number = 1 is_base, r.row_id pos, coalesce(activity_name, '') AS name, coalesce(upn.parent, '') parent, indentation_level = 0 header FROM rows r LEFT JOIN upn ON upn.row_id = r.row_id),
+ {fold_sql('given')} SELECT * EXCLUDE (ent) FROM folded""")
 def entity_fold(spark, sf):
     acts = hierarchy.parent_smaller(T(spark, sf, "soa_activities"), _KEY2, ["row_position", "row_id"], "indentation_level", "row_id")
     named = acts.alias("a").join(acts.select(F.col("row_id").alias("parent"), F.col("activity_name").alias("parent_name")), "parent", "left")
-    rows = named.select("protocol_id", "table_number", F.col("table_number").alias("table_rank"), (F.col("table_number") == 1).alias("is_base"), F.col("row_id").cast("int").alias("pos"),
+    rows = named.select("protocol_id", "table_number", F.col("table_number").alias("table_rank"), (F.col("table_number") == 1).alias("is_base"), F.col("row_id").alias("pos"),
                         F.col("activity_name").alias("name"), F.col("parent_name").alias("parent"), (F.col("indentation_level") == 0).alias("header"))
     return fold.resolve_entities(rows, ["protocol_id"])
 
@@ -423,27 +464,28 @@ def contained_texts(spark, sf):
     return matching.contains_join(t, t.withColumnRenamed("needle", "stack"), ["protocol_id"], "needle", "stack", least=25).where("needle <> stack")
 
 
-@query(f"""WITH titles AS (SELECT DISTINCT protocol_id, parent_name title, {_KEY.format('parent_name')} k FROM unified_activities WHERE length({_KEY.format('parent_name')}) >= 12),
- hits AS (SELECT doc_id, title, length(k) n FROM documents d JOIN titles t ON t.protocol_id = d.protocol_id AND contains({_KEY.format('d.text')}, k)),
- top AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY n DESC) rk, count(*) OVER (PARTITION BY doc_id, n) c FROM hits) SELECT doc_id, title FROM top WHERE rk = 1 AND c = 1""")
+@query(f"""WITH titles AS (SELECT protocol_id, min(annotation_text) title, {_KEY.format('annotation_text')} k FROM unified_annotations WHERE length({_KEY.format('annotation_text')}) >= 12 GROUP BY 1, 3),
+ hits AS (SELECT annot_key, title, length(k) n FROM soa_annotations d JOIN titles t ON t.protocol_id = d.protocol_id AND contains({_KEY.format('d.annotation_text')}, k)),
+ top AS (SELECT *, rank() OVER (PARTITION BY annot_key ORDER BY n DESC) rk, count(*) OVER (PARTITION BY annot_key, n) c FROM hits) SELECT annot_key, title FROM top WHERE rk = 1 AND c = 1""")
 def caption_title(spark, sf):
-    titles = T(spark, sf, "unified_activities").select("protocol_id", F.col("parent_name").alias("title"), text.norm_key(F.col("parent_name")).alias("k")).where("length(k) >= 12").distinct()
-    docs = T(spark, sf, "documents").where("protocol_id is not null and text is not null").select("protocol_id", "doc_id", text.norm_key(F.col("text")).alias("body"))
-    hits = matching.contains_join(titles, docs, ["protocol_id"], "k", "body", least=12).select("doc_id", "title", F.length("k").alias("n"))
-    return matching.longest_unique(hits, ["doc_id"], F.col("n")).select("doc_id", "title")
+    """The longest known text that a printed one holds, where one is longer than all others."""
+    titles = T(spark, sf, "unified_annotations").withColumn("k", text.norm_key(F.col("annotation_text"))).where("length(k) >= 12").groupBy("protocol_id", "k").agg(F.min("annotation_text").alias("title"))
+    printed = T(spark, sf, "soa_annotations").select("protocol_id", "annot_key", text.norm_key(F.col("annotation_text")).alias("body"))
+    return matching.longest_contained(printed, titles, ["protocol_id"], "body", "k", ["annot_key"], 12).select("annot_key", "title")
 
 
-@query(f"""WITH c AS (SELECT p.protocol_id, c.column_name, c.text FROM edc_items e JOIN protocols p ON p.study_code = e.study_label,
-  LATERAL (VALUES ('form_label', e.form_label), ('section_label', e.section_label), ('track_text', e.track_text)) c(column_name, text)),
- k AS (SELECT DISTINCT protocol_id, {_KEY.format('activity_name')} k FROM unified_activities)
- SELECT c.protocol_id, column_name, count(*) n, count(k.k) m FROM c LEFT JOIN k ON k.protocol_id = c.protocol_id AND k.k = {_KEY.format('c.text')}
+@query(f"""WITH c AS (SELECT p.protocol_id, c.place, c.text FROM edc_items e JOIN protocols p ON p.study_code = e.study_label,
+  LATERAL (VALUES (1, e.form_label), (2, e.section_label), (3, e.track_text)) c(place, text)),
+ k AS (SELECT DISTINCT protocol_id, {_KEY.format('activity_name')} k FROM unified_activities WHERE activity_name IS NOT NULL)
+ SELECT c.protocol_id, c.place AS "column" FROM c LEFT JOIN k ON k.protocol_id = c.protocol_id AND k.k = {_KEY.format('c.text')} AND k.k <> ''
  WHERE coalesce({_STRIP.format('c.text')}, '') <> '' GROUP BY 1, 2 HAVING count(k.k) >= 2 AND count(k.k) / count(*) >= 0.5""")
 def label_columns(spark, sf):
+    """Columns of hand-typed forms whose texts are names of activities of the study: equal in audit form."""
     forms = T(spark, sf, "edc_items").join(T(spark, sf, "protocols").select("protocol_id", F.col("study_code").alias("study_label")), "study_label")
-    texts = forms.unpivot(["protocol_id"], ["form_label", "section_label", "track_text"], "column_name", "text").where(~text.is_blank(F.col("text")))
-    keys = T(spark, sf, "unified_activities").select("protocol_id", text.norm_key(F.col("activity_name")).alias("k")).distinct().withColumn("m", F.lit(1))
-    per = texts.withColumn("k", text.norm_key(F.col("text"))).join(keys, ["protocol_id", "k"], "left").groupBy("protocol_id", "column_name").agg(F.count(F.lit(1)).alias("n"), F.count("m").alias("m"))
-    return per.where((F.col("m") >= audit.COLUMN_LEAST) & (F.col("m") / F.col("n") >= audit.COLUMN_RATE))
+    texts = forms.select("protocol_id", F.posexplode(F.array("form_label", "section_label", "track_text")).alias("at", "text")).select("protocol_id", (F.col("at") + 1).alias("column"), "text")
+    keys = T(spark, sf, "unified_activities").select("protocol_id", text.norm_key(F.col("activity_name")).alias("k")).where("k <> ''").distinct()
+    equal = texts.withColumn("k", text.norm_key(F.col("text"))).join(keys, ["protocol_id", "k"], "left_semi")
+    return audit.label_columns(texts, equal, ["protocol_id"])
 
 
 @query()
@@ -452,11 +494,12 @@ def page_assignment(spark, sf):
     return audit.assign_pages(rows, ["protocol_id"])
 
 
-@query("""WITH s AS (SELECT protocol_id, source_page page, table_number t, count(*) score FROM soa_activities WHERE source_page IS NOT NULL GROUP BY ALL),
- n AS (SELECT protocol_id, page, sum(score) n, max(score) m FROM s GROUP BY ALL) SELECT protocol_id, page FROM n WHERE m < 0.5 * n""")
+@query("""WITH s AS (SELECT protocol_id, source_page page, indentation_level, count(*) score FROM soa_activities WHERE source_page IS NOT NULL GROUP BY ALL),
+ n AS (SELECT protocol_id, page, sum(score) n, max(score) m FROM s GROUP BY ALL) SELECT protocol_id, page FROM n WHERE m < 0.75 * n""")
 def unexplained_pages(spark, sf):
-    s = T(spark, sf, "soa_activities").where("source_page is not null").groupBy("protocol_id", F.col("source_page").alias("page"), "table_number").agg(F.count(F.lit(1)).alias("score"))
-    return audit.orphan_pages(s, ["protocol_id"], s.groupBy("protocol_id", "page").agg(F.sum("score").alias("n")))
+    """Pages of which rows of no single level make up three quarters."""
+    s = T(spark, sf, "soa_activities").where("source_page is not null").groupBy("protocol_id", F.col("source_page").alias("page"), "indentation_level").agg(F.count(F.lit(1)).alias("score"))
+    return audit.orphan_pages(s, ["protocol_id"], s.groupBy("protocol_id", "page").agg(F.sum("score").alias("n")), rate=0.75)
 
 
 # --- runs and bands ------------------------------------------------------------------------------------------------------------
@@ -573,17 +616,24 @@ def partial_bindings(spark, sf):
     return quality.partial_bindings(rows("schedule_cells"), rows("soa_activities"), [*_KEY2, "marker"], "row_position")
 
 
-@query("""SELECT protocol_id, table_number, count(*) n FROM soa_annotations GROUP BY 1, 2 HAVING count(*) > 8 AND bool_and(annotation_type = 'footnote')""")
+@query("""SELECT protocol_id, table_number, count(*) n FROM soa_annotations GROUP BY 1, 2 HAVING count(*) > 2 AND bool_and(regexp_replace(lower(annotation_type), '[^a-z]', '', 'g') = 'footnote')""")
 def uniform_typing(spark, sf):
-    return quality.degenerate(T(spark, sf, "soa_annotations"), _KEY2, "annotation_type", "footnote", more_than=8)
+    """Tables of more than two notes that are all footnotes, however that is spelt."""
+    notes = T(spark, sf, "soa_annotations").withColumn("kind", F.regexp_replace(F.lower("annotation_type"), "[^a-z]", ""))
+    return quality.degenerate(notes, _KEY2, "kind", "footnote", more_than=2)
 
 
-@query("""WITH h AS (SELECT DISTINCT protocol_id, xact_id FROM unified_activities WHERE is_section_header)
- SELECT DISTINCT ann_key, x xact_id FROM (SELECT ann_key, protocol_id, unnest(referenced_xacts) x FROM unified_annotations) r JOIN h ON h.protocol_id = r.protocol_id AND h.xact_id = r.x""")
+@query(f"""WITH h AS (SELECT DISTINCT protocol_id, activity_name FROM unified_activities WHERE is_section_header),
+ m AS (SELECT protocol_id, table_number, activity_name, row_id, unnest({_MARKERS.format('annotation_markers')}) marker FROM soa_activities)
+ SELECT DISTINCT annot_key, row_id FROM m JOIN h ON h.protocol_id = m.protocol_id AND h.activity_name = m.activity_name
+  JOIN soa_annotations n ON n.protocol_id = m.protocol_id AND n.table_number = m.table_number AND n.annotation_marker = m.marker""")
 def header_bound(spark, sf):
-    heads = T(spark, sf, "unified_activities").where("is_section_header").select("protocol_id", "xact_id").distinct()
-    refs = T(spark, sf, "unified_annotations").select("ann_key", "protocol_id", F.explode("referenced_xacts").alias("xact_id")).distinct()
-    return refs.join(heads, ["protocol_id", "xact_id"]).select("ann_key", "xact_id")
+    """Notes that are bound to rows with the name of a section header."""
+    heads = T(spark, sf, "unified_activities").where("is_section_header").select("protocol_id", "activity_name").distinct()
+    acts = T(spark, sf, "soa_activities").join(heads, ["protocol_id", "activity_name"], "left_semi")
+    marks = xref.references(acts, _KEY2, F.col("row_id"), text.marker_list(F.col("annotation_markers")), "activity", F.col("row_id"))
+    notes = T(spark, sf, "soa_annotations").select(*_KEY2, "annot_key", F.col("annotation_marker").alias("marker"))
+    return xref.link(notes, marks, _KEY2).select("annot_key", F.col("element").alias("row_id")).distinct()
 
 
 @query("""SELECT protocol_id, sha256(annotation_text) text_sha, count(DISTINCT annotation_marker) n_markers FROM soa_annotations WHERE length(annotation_text) >= 25 GROUP BY 1, annotation_text HAVING count(DISTINCT annotation_marker) > 1""")
@@ -591,12 +641,13 @@ def identical_texts(spark, sf):
     return quality.identical_texts(T(spark, sf, "soa_annotations"), ["protocol_id"], "annotation_text", "annotation_marker")
 
 
-@query("""WITH r AS (SELECT protocol_id, table_number, min(source_page) f, max(source_page) l FROM soa_activities WHERE source_page IS NOT NULL GROUP BY 1, 2),
- w AS (SELECT protocol_id, table_number, unnest(range(f, l + 1))::INTEGER source_page FROM r) SELECT * FROM w ANTI JOIN soa_activities USING (protocol_id, table_number, source_page)""")
+@query("""WITH r AS (SELECT protocol_id, min(source_page) f, max(source_page) l FROM soa_activities WHERE source_page IS NOT NULL GROUP BY 1),
+ w AS (SELECT protocol_id, unnest(range(f, l + 1))::INTEGER source_page FROM r) SELECT * FROM w ANTI JOIN soa_activities USING (protocol_id, source_page)""")
 def page_gaps(spark, sf):
+    """Pages between a protocol's first and last that no row stands on."""
     acts = T(spark, sf, "soa_activities").where("source_page is not null")
-    spans = acts.groupBy(*_KEY2).agg(F.min("source_page").alias("f"), F.max("source_page").alias("l"))
-    return quality.coverage_gaps(spans, _KEY2, "f", "l", acts, "source_page")
+    spans = acts.groupBy("protocol_id").agg(F.min("source_page").alias("f"), F.max("source_page").alias("l"))
+    return quality.coverage_gaps(spans, ["protocol_id"], "f", "l", acts, "source_page")
 
 
 _CUT = "TIMESTAMP '2024-07-01'"

@@ -42,8 +42,8 @@ def audit_collection(reads: DataFrame, docs: DataFrame) -> PageAudit:
     pages, texts = read_pages(reads)
     labels = labels_of(docs)
     titles = docs.select("protocol_id", F.col("table_number").alias("table"), F.substring(norm_key(F.col("doc.table_metadata.table_title")), 1, CAPTION_CHARS).alias("key")).where(F.length("key") >= CAPTION_LEAST)
-    hits = pages.join(titles, "protocol_id").where(F.contains(F.coalesce("caption", F.lit("")), F.col("key")))
-    anchors = matching.longest_unique(hits.select("protocol_id", "page", "table", F.length("key").alias("n")), ["protocol_id", "page"], F.col("n")).select("protocol_id", "page", "table")
+    captions = pages.select("protocol_id", "page", F.col("caption").alias("body"))
+    anchors = matching.longest_contained(captions, titles, ["protocol_id"], "body", "key", ["protocol_id", "page"], CAPTION_LEAST).select("protocol_id", "page", "table")
     usable = pages.where((F.col("mark_columns") >= MARK_COLUMNS) & ~F.coalesce("rotated", F.lit(False)))
     asked = texts.join(usable.select("protocol_id", "page"), ["protocol_id", "page"])
     per_table = labels.select("protocol_id", "table").distinct().join(asked.select("protocol_id", "text").distinct(), "protocol_id")

@@ -9,8 +9,8 @@ from gridweave.operators import quality, xref
 from gridweave.plans.consolidate import Consolidated, source_tables
 from gridweave.plans.resolve import Resolved
 
-#: The form of the ids, and from how many pairs and characters text counts as damaged.
-FORMS = {"xact_id": r"\Axact-\d{3}\z", "xcol_id": r"\Axcol-\d{3}\z", "xannot_id": r"\Axannot-\d{3}\z"}
+#: The form of the ids, of three digits and of more from 1,000 on, and from how many pairs and characters text counts as damaged.
+FORMS = {"xact_id": r"\Axact-\d{3,}\z", "xcol_id": r"\Axcol-\d{3,}\z", "xannot_id": r"\Axannot-\d{3,}\z"}
 PAIRS, BLOCK = 3, 100
 
 
