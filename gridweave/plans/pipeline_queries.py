@@ -268,8 +268,8 @@ SQL |= {
     "consolidated_notes": f"""WITH RECURSIVE {_CONSOLIDATED}, o AS (SELECT *, row_number() OVER (PARTITION BY protocol_id ORDER BY t, pos) ord, {_NORM_NOTE.format("coalesce(txt, '')")} k FROM annotations),
       direct AS (SELECT o.protocol_id, o.ord, e.ord i, xact_id FROM o JOIN edges e ON e.protocol_id = o.protocol_id AND e.t = o.t AND e.annotation_id = o.annotation_id AND e.kind = 'activity' JOIN sources s ON s.protocol_id = e.protocol_id AND s.table_number = e.t AND s.activity_id = e.element),
       placed AS (SELECT protocol_id, t, ord, unnest(json_extract(e, '$.marker_locations[*]')) l, unnest(range(json_array_length(e, '$.marker_locations')::BIGINT)) i FROM o),
-      located AS (SELECT p.protocol_id, ord, i, xact_id FROM placed p JOIN act_of a ON a.protocol_id = p.protocol_id AND a.t = p.t AND a.row_position = (l->>'$.row_position')::INTEGER JOIN sources s ON s.protocol_id = p.protocol_id AND s.table_number = p.t AND s.activity_id = a.activity_id
-        WHERE l->>'$.location_type' IN ('activity_name', 'schedule_cell')),
+      located AS (SELECT p.protocol_id, ord, i, xact_id FROM placed p JOIN act_of a ON a.protocol_id = p.protocol_id AND a.t = p.t AND a.row_position = (p.l->>'$.row_position')::INTEGER JOIN sources s ON s.protocol_id = p.protocol_id AND s.table_number = p.t AND s.activity_id = a.activity_id
+        WHERE p.l->>'$.location_type' IN ('activity_name', 'schedule_cell')),
       bound AS (SELECT * FROM direct UNION ALL SELECT * FROM located l WHERE NOT EXISTS (SELECT 1 FROM direct d WHERE d.protocol_id = l.protocol_id AND d.ord = l.ord)),
       pairs AS (SELECT o.protocol_id, o.k, s.xact_id || '|' || x.xcol_id c FROM o JOIN edges e ON e.protocol_id = o.protocol_id AND e.t = o.t AND e.annotation_id = o.annotation_id AND e.kind = 'cell'
         JOIN sources s ON s.protocol_id = e.protocol_id AND s.table_number = e.t AND s.activity_id = split_part(e.element, '|', 1) JOIN columns_ x ON x.protocol_id = e.protocol_id AND x.t = e.t AND x.column_id = split_part(e.element, '|', 2)),

@@ -18,7 +18,7 @@ schedule_properties array<struct<table_number:int,row_position:int,property_name
 schedule_grid array<struct<table_number:int,row_position:int,column_position:int,cell_value:string,merged_cell_range:string,is_merged_cell:boolean,annotation_markers:string,method:string>>,
 activities array<struct<table_number:int,row_position:int,source_page:int,activity_name:string,
   activity_name_source:struct<cell_text:string,indentation_level:int,text_formatting:array<string>,method:string,indentation_method:string>,annotation_markers:string>>,
-activity_schedule array<struct<table_number:int,row_position:int,column_position:int,cell_value:string,source_range:string,annotation_markers:string,method:string>>,
+activity_schedule array<struct<table_number:int,row_position:int,column_position:int,cell_value:string,source_range:string,is_merged_cell:boolean,annotation_markers:string,method:string>>,
 annotations array<struct<annotation_marker:string,annotation_type:string,annotation_text:string,annotation_text_source:struct<method:string,note:string>,
   marker_locations:array<struct<table_number:int,location_type:string,row_position:int,column_position:int,method:string>>>>
 """

@@ -66,15 +66,20 @@ def _tool_uses(text: str | None) -> list[tuple[str | None, str | None]]:
     return found
 
 
-def tool_calls(lines: DataFrame, text: str = "value") -> DataFrame:
-    """tool, input of every object with type tool_use in JSON lines, however deep it stands; lines that are no JSON give none."""
+def tool_calls(lines: DataFrame, text: str = "value", keep: list[str] = ()) -> DataFrame:
+    """tool, input, ordinal of every object with type tool_use in JSON lines, however deep it stands, with columns of the line to keep;
+    lines that are no JSON give none. ordinal orders the calls of lines that were read in order."""
+    schema = "".join(f"{c} {t}, " for c, t in lines.select(*keep).dtypes) if keep else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [u for t in b.column(0).to_pylist() for u in _tool_uses(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in (0, 1)], names=["tool", "input"])
+            found = [(i, *u, (at << 20) + k) for i, (t, at) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())) for k, u in enumerate(_tool_uses(t))]
+            rows = pa.array([x[0] for x in found], pa.int64())
+            cols = [*(b.column(2 + i).take(rows) for i in range(len(keep))), pa.array([x[1] for x in found], pa.string()), pa.array([x[2] for x in found], pa.string()), pa.array([x[3] for x in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*keep, "tool", "input", "ordinal"])
 
-    return map_arrow(lines.select(text), run, "tool string, input string")
+    numbered = lines.select(F.col(text), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 42)).alias("_at"), *keep)
+    return map_arrow(numbered, run, schema + "tool string, input string, ordinal long")
 
 
 def json_strings(docs: DataFrame, text: str) -> DataFrame:

@@ -7,11 +7,11 @@ from pathlib import Path
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent.parent))
-from gridweave.plans import catalogue, pipeline_queries, problems  # noqa: E402
+from gridweave.plans import catalogue, gate_queries, pipeline_queries, problems  # noqa: E402
 
 SF = os.environ.get("GRIDWEAVE_TEST_SF", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="no test tables here")
-MODULES = [problems, catalogue, pipeline_queries]
+MODULES = [problems, catalogue, pipeline_queries, gate_queries]
 NAMES = [(m, n) for m in MODULES for n in m.QUERIES]
 
 
