@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridweave.functions.text import is_blank, norm_key
 from gridweave.operators.islands import after_first
 from gridweave.operators.matching import label_matches
-from gridweave.session import ship
+from gridweave.session import materialise, ship
 
 #: Weight of a caption against label matches; longest label; what makes a column one of labels.
 ANCHOR, NOTE_CHARS, COLUMN_RATE, COLUMN_LEAST = 1000, 150, 0.5, 2
@@ -33,8 +33,8 @@ def audit_rows(texts: DataFrame, labels: DataFrame, group: list[str]) -> tuple[D
     matched row of their page that match no label, is_note for such as are too long for one. missing: labels never seen.
     coverage: bands and matched ones of each page. Groups without label column have no unmatched and no missing rows.
     """
-    matches = label_matches(texts, labels, group, "text", "label")
-    columns = label_columns(texts, matches, group)
+    matches = materialise(label_matches(texts, labels, group, "text", "label"), "matches")
+    columns = materialise(label_columns(texts, matches, group), "columns")
     inside = texts.join(columns, [*group, "column"])
     hit = inside.join(matches.select(*group, "text").distinct().withColumn("_hit", F.lit(True)), [*group, "text"], "left")
     rows = hit.groupBy(*group, "page", "row").agg(F.coalesce(F.bool_or("_hit"), F.lit(False)).alias("found"))

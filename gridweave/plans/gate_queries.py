@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridweave.functions import text
 from gridweave.functions.text import WS
-from gridweave.plans import consolidate, document_out, gates, resolve
+from gridweave.plans import consolidate, document_out, gates, page_audit, resolve
 from gridweave.plans.catalogue import _MARKERS, _NORM_NOTE, _SQUEEZE
 from gridweave.plans.pipeline_queries import _CONSOLIDATED, _DOCS, _RESOLVED, _docs
 from gridweave.plans.problems import table
@@ -108,9 +108,29 @@ def document_structure(spark: SparkSession, sf: str) -> DataFrame:
     return d.agg(F.count(F.lit(1)).alias("n_documents")).crossJoin(bad)  # one row beside one row
 
 
+def _reads(spark: SparkSession, sf: str) -> DataFrame:
+    """Delivered rows as what pages print."""
+    rows = table(spark, sf, "soa_activities").where("source_page is not null and activity_name is not null").select("protocol_id", F.col("source_page").alias("page"), F.struct(F.col("row_id").alias("row"), F.lit(0.0).alias("y0"), F.lit(1.0).alias("y1"), F.array("activity_name").alias("texts")).alias("r"))
+    return rows.groupBy("protocol_id", "page").agg(F.sort_array(F.collect_list("r")).alias("rows")).select(
+        "protocol_id", "page", F.lit(None).cast("string").alias("caption"), F.lit(True).alias("has_grid"), F.lit(True).alias("has_text"), F.lit(3).alias("mark_columns"), F.lit(False).alias("rotated"), "rows"
+    )
+
+
+def row_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The row audit of the delivered rows against the extractions of raw_records, table by table."""
+    docs = materialise(_docs(spark, sf), "documents")
+    t = page_audit.audit_collection(materialise(_reads(spark, sf), "reads"), docs).tables
+    return t.withColumn("pages", F.array_join(F.transform("pages", lambda p: p.cast("string")), ","))
+
+
+def row_audit_counts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = materialise(_docs(spark, sf), "documents")
+    return page_audit.audit_collection(materialise(_reads(spark, sf), "reads"), docs).counts
+
+
 QUERIES = {
     f.__name__: f
-    for f in (gate_metrics, gate_findings, gate_bindings, quote_verdicts, page_decisions, call_leaks, call_crosses, structure_findings, resolved_documents, consolidated_documents, document_structure)
+    for f in (gate_metrics, gate_findings, gate_bindings, quote_verdicts, page_decisions, call_leaks, call_crosses, structure_findings, resolved_documents, consolidated_documents, document_structure, row_audit, row_audit_counts)
 }
 
 _E = lambda name: f"(SELECT protocol_id, t, unnest(range(1, len(x) + 1))::INTEGER pos, unnest(x) e FROM (SELECT protocol_id, t, json_extract(j, '$.{name}[*]') x FROM docs))"

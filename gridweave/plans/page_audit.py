@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridweave.functions.text import norm_key
 from gridweave.operators import audit, matching
+from gridweave.session import materialise
 
 #: Characters of a title that a caption must hold, the fewest of them, and mark columns of a schedule page.
 CAPTION_CHARS, CAPTION_LEAST, MARK_COLUMNS = 40, 12, 2
@@ -22,6 +23,8 @@ class PageAudit:
     missing: DataFrame
     coverage: DataFrame
     totals: DataFrame
+    tables: DataFrame
+    counts: DataFrame
 
 
 def read_pages(reads: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -48,13 +51,86 @@ def audit_collection(reads: DataFrame, docs: DataFrame) -> PageAudit:
     asked = texts.join(usable.select("protocol_id", "page"), ["protocol_id", "page"])
     per_table = labels.select("protocol_id", "table").distinct().join(asked.select("protocol_id", "text").distinct(), "protocol_id")
     found = matching.label_matches(per_table, labels, ["protocol_id", "table"], "text", "label").select("protocol_id", "table", "text").distinct()
-    scores = asked.join(found, ["protocol_id", "text"]).groupBy("protocol_id", "page", "table").agg(F.countDistinct("row").alias("score"))
+    scores = materialise(asked.join(found, ["protocol_id", "text"]).groupBy("protocol_id", "page", "table").agg(F.countDistinct("row").alias("score")), "scores")
     open_pages = usable.join(anchors, ["protocol_id", "page"], "left_anti").select("protocol_id", "page", F.col("n_rows").alias("n"))
     lost = audit.orphan_pages(scores, ["protocol_id"], open_pages)
     assigned = audit.assign_pages(scores.join(lost, ["protocol_id", "page"], "left_anti"), ["protocol_id"], anchors)
-    own = texts.join(assigned, ["protocol_id", "page"])
-    unmatched, missing, coverage = audit.audit_rows(own, labels, ["protocol_id", "table"])
+    assigned = materialise(assigned, "assigned")
+    own = materialise(texts.join(assigned, ["protocol_id", "page"]), "own")
+    unmatched, missing, coverage = (materialise(df, "rows") for df in audit.audit_rows(own, labels, ["protocol_id", "table"]))
     totals = unmatched.groupBy("protocol_id").agg(F.count_if(~F.col("is_note")).alias("on_page_not_extracted"), F.count_if("is_note").alias("note_bands"))
     gone = missing.groupBy("protocol_id").agg(F.count(F.lit(1)).alias("extracted_not_on_page"))
-    totals = pages.select("protocol_id").distinct().join(totals, "protocol_id", "left").join(gone, "protocol_id", "left").fillna(0)
-    return PageAudit(assigned, lost, unmatched, missing, coverage, totals)
+    orphans = lost.groupBy("protocol_id").agg(F.count(F.lit(1)).alias("pages_not_in_any_extraction"))
+    totals = pages.select("protocol_id").distinct().join(totals, "protocol_id", "left").join(gone, "protocol_id", "left").join(orphans, "protocol_id", "left").fillna(0)
+    tables = _tables(docs, assigned, coverage, unmatched, missing)
+    return PageAudit(assigned, lost, unmatched, missing, coverage, totals, tables, _counts(docs, totals, tables))
+
+
+def _tables(docs: DataFrame, assigned: DataFrame, coverage: DataFrame, unmatched: DataFrame, missing: DataFrame) -> DataFrame:
+    """protocol_id, table, its pages beside the declared ones, bands and matched ones, and findings. doc_page_offset, what has to be
+    added to a page of the excerpt to have the document's, is known where as many pages are assigned as declared."""
+    key = ["protocol_id", "table"]
+    meta = docs.select("protocol_id", F.col("table_number").alias("table"), F.col("doc.table_metadata.page_start").alias("page_start"), F.col("doc.table_metadata.page_end").alias("page_end"))
+    own = assigned.groupBy(*key).agg(F.array_sort(F.collect_set("page")).alias("pages"))
+    rows = coverage.groupBy(*key).agg(F.sum("bands").alias("bands"), F.sum("matched").alias("matched"))
+    extra = unmatched.groupBy(*key).agg(F.count_if(~F.col("is_note")).alias("on_page_not_extracted"))
+    gone = missing.groupBy(*key).agg(F.count(F.lit(1)).alias("extracted_not_on_page"))
+    out = meta.join(own, key, "left").join(rows, key, "left").join(extra, key, "left").join(gone, key, "left").fillna(0, ["bands", "matched", "on_page_not_extracted", "extracted_not_on_page"])
+    n = F.coalesce(F.size("pages"), F.lit(0))
+    agrees = F.coalesce(n == F.col("page_end") - F.col("page_start") + 1, F.lit(False))
+    return out.withColumns({"page_count_agrees": agrees, "doc_page_offset": F.when(agrees & (n > 0), F.col("page_start") - F.array_min("pages"))})
+
+
+def _counts(docs: DataFrame, totals: DataFrame, tables: DataFrame) -> DataFrame:
+    """The seven sums of a collection: one row."""
+    a = docs.select("protocol_id").distinct().join(totals.withColumn("read", F.lit(1)), "protocol_id", "full").agg(
+        F.count(F.lit(1)).alias("protocols"), F.coalesce(F.sum("read"), F.lit(0)).alias("protocols_audited"), F.coalesce(F.sum("pages_not_in_any_extraction"), F.lit(0)).alias("pages_not_in_any_extraction"),
+        F.coalesce(F.sum("on_page_not_extracted"), F.lit(0)).alias("on_page_not_extracted"), F.coalesce(F.sum("extracted_not_on_page"), F.lit(0)).alias("extracted_not_on_page"),
+    )
+    b = tables.agg(F.count(F.lit(1)).alias("tables"), F.count_if(F.col("pages").isNull()).alias("tables_without_pages"))
+    return a.crossJoin(b)  # one row beside one row
+
+
+def reports(a: PageAudit) -> DataFrame:
+    """protocol_id, name, text: the row audit of each protocol as a JSON document."""
+    key = ["protocol_id", "table"]
+    seen = a.unmatched.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("page", "row", "column", "text", "is_note"))).alias("on_page"))
+    gone = a.missing.groupBy(*key).agg(F.array_sort(F.collect_list("label")).alias("not_on_page"))
+    cover = a.coverage.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("page", "bands", "matched"))).alias("page_coverage"))
+    rows = a.tables.join(seen, key, "left").join(gone, key, "left").join(cover, key, "left")
+    one = F.struct(
+        F.col("table").alias("table_number"), "pages", "page_start", "page_end", "page_count_agrees", "doc_page_offset", "page_coverage", F.coalesce("on_page", F.array().cast(dict(seen.dtypes)["on_page"])).alias("on_page_not_extracted"),
+        F.coalesce("not_on_page", F.array().cast("array<string>")).alias("extracted_not_on_page"),
+    )
+    orphans = a.orphan_pages.groupBy("protocol_id").agg(F.array_sort(F.collect_set("page")).alias("lost"))
+    per = rows.groupBy("protocol_id").agg(F.sort_array(F.collect_list(F.struct("table", one.alias("t")))).alias("t")).join(orphans, "protocol_id", "left")
+    body = F.struct("protocol_id", F.lit("ok").alias("status"), F.coalesce("lost", F.array().cast(dict(orphans.dtypes)["lost"])).alias("pages_not_in_any_extraction"), F.transform("t", lambda x: x["t"]).alias("tables"))
+    return per.select("protocol_id", F.concat_ws("/", "protocol_id", F.lit("row_audit.json")).alias("name"), F.to_json(body).alias("text"))
+
+
+def main(args: list[str] | None = None) -> None:
+    """python -m gridweave.plans.page_audit READS ROOT [--out OUT]: page reads (Parquet) against the extractions below ROOT."""
+    import argparse
+
+    from gridweave.session import build_session
+    from gridweave.sources import documents, sinks
+
+    p = argparse.ArgumentParser(prog="gridweave-audit", description="Compare the rows that pages print with the rows that were extracted.")
+    p.add_argument("reads")
+    p.add_argument("root")
+    p.add_argument("--out")
+    a = p.parse_args(args)
+    spark = build_session()
+    done = audit_collection(spark.read.parquet(a.reads), materialise(documents.read_extractions(spark, a.root), "documents"))
+    done = PageAudit(**{k: materialise(df, k) for k, df in vars(done).items()})
+    if a.out:
+        sinks.write_files(reports(done).select("name", "text"), a.out)
+    done.counts.show(truncate=False)
+    found = done.tables.orderBy("protocol_id", "table")
+    found.select("protocol_id", "table", "pages", "matched", "bands", "page_count_agrees", "on_page_not_extracted", "extracted_not_on_page").show(1000, truncate=False)
+    if (n := found.count()) > 1000:
+        print(f"the first 1000 of {n} tables")
+
+
+if __name__ == "__main__":
+    main()

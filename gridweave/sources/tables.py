@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import json
+import re
+import zipfile
 from collections.abc import Iterator
+from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +22,14 @@ WORDS = "_xMin double, _yMin double, _xMax double, _yMax double, _VALUE string"
 
 
 def read_manifest(spark: SparkSession, path: str, names: tuple[str, ...] = STUDY_KEYS) -> DataFrame:
-    """A manifest table (CSV with a header, or Parquet) with study_key, the first non-empty of names; rows without are dropped.
+    """A manifest table (CSV with a header, Excel, or Parquet) with study_key, the first non-empty of names; rows without are dropped.
     A file that cannot be read gives an empty manifest."""
     try:
-        df = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", True).csv(path)
-    except AnalysisException:
+        if path.endswith(".xlsx"):
+            df = read_excel(spark, path)
+        else:
+            df = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", True).csv(path)
+    except (AnalysisException, zipfile.BadZipFile, KeyError, ElementTree.ParseError):
         return spark.createDataFrame([], "study_key string")
     keys = [F.nullif(F.trim(F.col(k).cast("string")), F.lit("")) for k in names if k in df.columns]
     if not keys:
@@ -30,6 +37,41 @@ def read_manifest(spark: SparkSession, path: str, names: tuple[str, ...] = STUDY
     return df.withColumn("study_key", F.coalesce(*keys)).where("study_key is not null")
 
 
+def _sheet(body: bytes) -> list[dict[int, str]]:
+    """The rows of the first sheet of a workbook: texts by number of column."""
+    place = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    with zipfile.ZipFile(io.BytesIO(body)) as z:
+        names = z.namelist()
+        shared = []
+        if "xl/sharedStrings.xml" in names:
+            shared = ["".join(t.text or "" for t in si.iter(f"{place}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{place}si")]
+        first = min((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.findall(r"\d+", n)[-1]), default=None)
+        sheet = ElementTree.fromstring(z.read(first or "xl/worksheets/sheet1.xml"))
+    rows = []
+    for row in sheet.iter(f"{place}row"):
+        cells = {}
+        for at, c in enumerate(row.iter(f"{place}c")):
+            letters = re.match("[A-Z]+", c.get("r") or "")
+            col = at if letters is None else sum((ord(x) - 64) * 26**i for i, x in enumerate(reversed(letters[0]))) - 1
+            v = c.find(f"{place}v")
+            if c.get("t") == "inlineStr":
+                cells[col] = "".join(t.text or "" for t in c.iter(f"{place}t"))
+            elif v is not None and v.text is not None:
+                cells[col] = shared[int(v.text)] if c.get("t") == "s" else v.text
+        rows.append(cells)
+    return rows
+
+
+def read_excel(spark: SparkSession, path: str) -> DataFrame:
+    """The first sheet of an Excel workbook (a manifest: one small file) as texts; its first row names the columns."""
+    found = spark.read.format("binaryFile").load(path).select("content").limit(1).collect()
+    rows = _sheet(bytes(found[0]["content"])) if found else []
+    names = {i: n.strip() for i, n in (rows[0] if rows else {}).items() if n and n.strip()}
+    if not names:
+        return spark.createDataFrame([], "study_key string")
+    return spark.createDataFrame([tuple(r.get(i) for i in names) for r in rows[1:] if r], ", ".join(f"`{n}` string" for n in names.values()))
+
+
 def merge_sheets(studies: DataFrame, sheet: DataFrame, columns: list[str]) -> DataFrame:
     """studies with the given columns of a second sheet where that has the study; both by study_key."""
     more = sheet.groupBy("study_key").agg(*[F.max(c).alias(f"_m_{c}") for c in columns])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridweave.operators import islands
 from gridweave.operators.patch import CorrectionError
-from gridweave.plans import consolidate, corrections, inventory, page_audit, pipeline, resolve, validate
+from gridweave.plans import consolidate, corrections, document_out, gates, inventory, page_audit, pipeline, resolve, validate
 from gridweave.sources import documents, sinks, tables
 from gridweave.streaming import incremental
 
@@ -95,7 +95,7 @@ def test_consolidated(done):
 
 
 def test_findings_and_inventory(done, spark):
-    assert done.errors == [] and done.error_counts().count() == 0
+    assert [s for s, _ in done.errors] == ["resolve"] and "P2_Table_02" in done.errors[0][1] and rows(done.error_counts(), "step", "n") == [("resolve", 1)]
     found = {(r["protocol_id"], r["severity"], r["step"]) for r in done.results["validate"].collect()}
     assert ("P1", "warning", "orphan") in found and not [f for f in found if f[1] == "error"]
     stock = done.results["inventory"]
@@ -109,9 +109,9 @@ def test_findings_and_inventory(done, spark):
 
 def test_findings_name_dangling_ids(done):
     c = done.results["consolidate"]
-    broken = consolidate.Consolidated(**{**c.all(), "activities": c.activities.where("activity_name <> 'Blood count'").withColumn("xact_id", F.regexp_replace("xact_id", "^xact-001$", "xact-1000"))})
+    broken = consolidate.Consolidated(**{**c.all(), "activities": c.activities.where("activity_name <> 'Blood count'").withColumn("xact_id", F.regexp_replace("xact_id", "^xact-001$", "xact-1O0"))})
     steps = {(r["step"], r["subject"]) for r in validate.findings(broken).where("severity = 'error'").collect()}
-    assert ("matrix_activity", "xact-002") in steps and ("note_activity", "xact-002") in steps and ("id_form", "xact-1000") in steps
+    assert ("matrix_activity", "xact-002") in steps and ("note_activity", "xact-002") in steps and ("id_form", "xact-1O0") in steps
 
 
 def test_corrections(spark, tmp_path):
@@ -205,6 +205,10 @@ def test_audit_finds_dropped_rows(spark):
     assert rows(got.coverage, "page", "bands", "matched") == [(1, 6, 2), (2, 3, 2), (3, 2, 2)]
     t = got.totals.first()
     assert (t["on_page_not_extracted"], t["note_bands"]) == (2, 1)
+    assert rows(got.counts, "protocols", "protocols_audited", "tables", "tables_without_pages", "pages_not_in_any_extraction", "on_page_not_extracted") == [(1, 1, 2, 0, 1, 2)]
+    report = json.loads(page_audit.reports(got).first()["text"])
+    assert [(x["table_number"], x["pages"]) for x in report["tables"]] == [(1, [1, 2]), (2, [3])] and report["pages_not_in_any_extraction"] == [4]
+    assert [f["text"] for f in report["tables"][0]["on_page_not_extracted"] if not f["is_note"]] == ["Dropped row", "Other row"]
 
 
 def test_detectors(spark):
@@ -241,3 +245,68 @@ def test_error_counts_count_all_findings(spark, tmp_path):
     found = spark.range(2500).selectExpr("'P' protocol_id", "'error' severity", "if(id < 1500, 'a', 'b') step", "cast(id as string) subject")
     ctx = pipeline.run(spark, str(tmp_path), steps=[("early", lambda c: c.errors.append(("early", "x"))), ("validate", lambda c: found)])
     assert rows(ctx.error_counts(), "step", "n") == [("a", 1500), ("b", 1000), ("early", 1)] and len(ctx.errors) == 1001
+
+
+def test_documents_are_written_as_files(spark, collection, tmp_path):
+    ctx = pipeline.run(spark, str(collection), str(tmp_path), protocols=["P1"])
+    assert {r["protocol_id"] for r in ctx.results["resolve"].tables.collect()} == {"P1"}
+    files = sorted(p.relative_to(tmp_path / "documents").as_posix() for p in (tmp_path / "documents").rglob("*.json"))
+    assert any(f.startswith("P1/resolved/P1_Table_01") for f in files) and all(f.startswith("P1/") for f in files)
+    assert not list((tmp_path / "documents").rglob(".*.json.*"))
+    doc = json.loads((tmp_path / "documents" / next(f for f in files if "_Table_01_" in f and "resolved/" in f)).read_text())
+    assert doc["schema_name"] == "soa-table-resolved" and doc["activities"] and "is_redacted" not in doc["activities"][0] and doc["activities"][0]["parent_activity_id"] is None
+    whole = [json.loads(p.read_text()) for p in (tmp_path / "documents").rglob("*_consolidated.json")]
+    for d in whole:
+        assert set(d) >= set(document_out.REQUIRED) and set(d["timeline_segments"]) == set(document_out.SEGMENTS)
+        ids = {a["xact_id"] for a in d["unified_activities"]}
+        assert {c["xact_id"] for c in d["schedule_matrix"]} <= ids and all(a["source_refs"] for a in d["unified_activities"])
+    assert (tmp_path / "documents" / "index.html").read_text().startswith("<!doctype html>")
+
+
+def test_structure_of_documents(spark):
+    good = {k: {} for k in document_out.REQUIRED} | {"schema_name": "soa-tables-consolidated", "timeline_segments": {"main": []}}
+    texts = [json.dumps(good), json.dumps({k: v for k, v in good.items() if k != "schedule_matrix"}), json.dumps(good | {"schema_name": "x", "timeline_segments": {"main": [], "odd": []}}), "[1]", "{"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = rows(document_out.structure_findings(df, "i", "t"), "i", "severity", "step", "subject")
+    assert got == [(1, "error", "missing_field", "schedule_matrix"), (2, "error", "schema_name", "x"), (2, "warning", "unknown_segment", "odd"), (3, "error", "no_document", ""), (4, "error", "no_document", "")]
+
+
+def test_quotes(spark):
+    source = "The visit may be held by telephone  where the site agrees.\nOther text of the schedule stands here."
+    report = 'It says "The visit may be held by telephone where the site agrees." and\n"The visit may be heldby telephone where the site agrees".\n\nBut “this was never written in any of the sources”, nor "The visit may be held by … of the schedule stands here" or "some `code` that is quoted here for once".'
+    got = gates.quote_check(spark.createDataFrame([("g", report)], "g string, report string"), spark.createDataFrame([("g", source)], "g string, source string"), ["g"])
+    assert {r["quote"][:24]: r["verdict"] for r in got.collect()} == {
+        "The visit may be held by": "exact", "The visit may be heldby ": "loose", "this was never written i": "not_found", "some `code` that is quot": "skipped",
+    }
+
+
+def test_page_maps(spark):
+    df = spark.createDataFrame([("a", 3, 5, 3), ("b", 3, 5, 2), ("c", 3, 4, 4), ("d", 3, 4, 4), ("e", 3, 4, 4), ("f", 3, 4, None), ("g", 3, 9, 2)], "study string, first int, last int, n_pages int")
+    s = F.col("study")
+    d = gates.page_decisions(df, front=s == "c", back=s == "d", explicit=F.when(s == "g", F.array(F.lit(3), F.lit(9))))
+    got = {r["study"]: (r["decision"], r["pages"]) for r in d.collect()}
+    assert got == {"a": ("equal", [3, 4, 5]), "b": ("fewer", None), "c": ("front", [1, 2, 3, 4]), "d": ("back", [3, 4, 5, 6]), "e": ("undecided", None), "f": ("none", None), "g": ("explicit", [3, 9])}
+    texts = {r["study"]: r["text"] for r in gates.page_map_text(d).collect()}
+    assert set(texts) == set("acdg") and "| 3 | 5 | beyond the declared range" in texts["d"] and "beyond" not in texts["a"]
+
+
+def test_excel_manifest(spark, tmp_path):
+    import zipfile
+
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(tmp_path / "m.xlsx", "w") as z:
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>protocol_id</t></si><si><t>sponsor</t></si><si><r><t>Ac</t></r><r><t>me</t></r></si></sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {ns}><sheetData><row><c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c></row><row><c r="A2" t="inlineStr"><is><t>P1</t></is></c><c r="C2" t="s"><v>2</v></c></row><row><c r="C3"><v>7</v></c></row></sheetData></worksheet>')
+    assert rows(tables.read_manifest(spark, str(tmp_path / "m.xlsx")), "study_key", "sponsor") == [("P1", "Acme")]
+    (tmp_path / "bad.xlsx").write_bytes(b"no workbook")
+    assert tables.read_manifest(spark, str(tmp_path / "bad.xlsx")).count() == 0
+
+
+def test_broken_documents_are_errors(spark, tmp_path):
+    at = tmp_path / "protocols" / "P9"
+    at.mkdir(parents=True)
+    (at / "P9_Table_01_extraction.json").write_text(json.dumps(extraction(1, "main_soa", [("Vital signs", 0, "")])))
+    (at / "P9_Table_02_extraction.json").write_text("{broken")
+    ctx = pipeline.run(spark, str(tmp_path))
+    assert ctx.results["resolve"].tables.count() == 1 and any(step == "resolve" and "Table_02" in m for step, m in ctx.errors)
+    assert {r["step"]: r["n"] for r in ctx.error_counts().collect()}["resolve"] == 1
