@@ -18,6 +18,8 @@ QUOTE_SIGNS = {"double": '"', "single": "'", "typographic": "“"}
 #: Fixed values, in bits: a character that is spelled out, a separating character under a named delimiter and under "any", and
 #: what it takes to say that a dialect has a quoting style, or every delimiter and all styles.
 SPELLED, NAMED_SEPARATOR, ANY_SEPARATOR, STYLE, EVERYTHING = 8.0, 1.0, 6.0, 1.0, 7.0
+#: Values whose codes (a hash and a number each) are broadcast at most.
+CODES = 200_000
 
 
 def _values(field: Column, chars: str, quote: str) -> Column:
@@ -63,49 +65,49 @@ def choose_dialects(fields: DataFrame, chars: str) -> DataFrame:
 
     Length: the dialect's code, by how often each dialect can describe a field; each value's code, by how often the value
     occurs in all candidate parses of all fields, or spelled out where that is shorter; the separating characters; and the
-    generality of the dialect.
-    Ties go to the dialect first by name.
+    generality of the dialect. Ties go to the dialect first by name.
+
+    One shuffle counts the values, one brings the candidates of a field together. The codes of up to CODES values are broadcast,
+    counted before; more are joined by a shuffle in which no hot value meets one task.
     """
     cand = materialise(candidates(fields, chars), "dialects")
     share = F.col("n") / F.col("ways")
     uses = cand.groupBy("dialect").agg(F.sum(share).alias("w"))
     known = {r["dialect"]: r["w"] for r in uses.collect()}  # at most delimiters x styles entries
     total = sum(known.values()) + len(known)
-    each = cand.select("fid", "n", "ways", "dialect", F.explode("values").alias("v"))
-    coded = each.withColumn("vid", F.unhex(F.sha2("v", 256)))
-    weights = coded.groupBy("vid").agg(F.sum(share).alias("w"), F.max(F.length("v")).alias("len"))
-    mass = F.lit(float(coded.agg(F.sum(share).alias("w")).first()["w"] or 1.0))
+    each = cand.select("fid", "n", "ways", "dialect", "seps", F.explode_outer("values").alias("v")).withColumn("vid", F.when(F.col("v").isNotNull(), F.unhex(F.sha2("v", 256))))
+    weights = each.where("vid is not null").groupBy("vid").agg(F.sum(share).alias("w"), F.max(F.length("v")).alias("len"))
+    weights = materialise(weights, "values")
+    told = weights.agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n")).first()
+    mass = F.lit(float(told["w"] or 1.0))
     codes = weights.select("vid", (1 + F.least(F.log2(mass / F.col("w")), SPELLED * (F.col("len") + 1))).alias("bits"))
-    hot = hot_keys(coded.select("vid"), "vid")
-    spent = lookup_join(coded.select("vid", "fid", "dialect"), codes, "vid", hot).groupBy("fid", "dialect").agg(F.sum("bits").alias("bits"))
+    slim = each.select("fid", "dialect", "seps", "vid")
+    if told["n"] <= CODES:
+        coded = slim.join(F.broadcast(codes), "vid", "left")
+    else:
+        coded = lookup_join(slim, codes, "vid", hot_keys(weights, "vid", weight="w"), "left")
     names = F.create_map(*[x for k, w in sorted(known.items()) for x in (F.lit(k), F.lit(w))]) if known else F.create_map(F.lit(""), F.lit(1.0))
-    scored = cand.select("fid", "dialect", "seps").join(spent, ["fid", "dialect"], "left").select(
-        "fid",
-        F.struct(
-            (F.coalesce("bits", F.lit(0.0)) + F.col("seps") + F.log2(F.lit(total) / (names[F.col("dialect")] + 1))).alias("length"),
-            F.col("dialect"),
-        ).alias("s"),
-    )
-    return scored.groupBy("fid").agg(F.min("s").alias("s")).select("fid", F.col("s.dialect").alias("dialect"), F.col("s.length").alias("length"))
+    spent = coded.repartition("fid").groupBy("fid", "dialect").agg(F.coalesce(F.sum("bits"), F.lit(0.0)).alias("bits"), F.first("seps").alias("seps"))
+    length = (F.col("bits") + F.col("seps") + F.log2(F.lit(total) / (names[F.col("dialect")] + 1))).alias("length")
+    return spent.groupBy("fid").agg(F.min(F.struct(length, F.col("dialect"))).alias("s")).select("fid", F.col("s.dialect").alias("dialect"), F.col("s.length").alias("length"))
 
 
 def split_packed(rows: DataFrame, ids: list[str], field: str, chars: str, least: int = 2) -> DataFrame:
     """One row a value of each field that holds `least` or more: ids, item_pos (from 1), item_value, dialect.
 
-    rows are read once for the distinct fields (counted with partial counts), whose dialects are chosen by
-    choose_dialects, and once to parse each field with its dialect. Fields are keyed by the SHA-256 of their text; the
-    dialects of hot fields are broadcast (at most 1 / HOT_SHARE rows of fixed width), the others joined by a shuffle.
+    rows are read once and kept with the SHA-256 of their field; the distinct fields (counted with partial counts) get their dialects
+    from choose_dialects, by which every field is parsed. The dialects of hot fields are broadcast (at most 1 / HOT_SHARE rows of
+    fixed width), the others joined by a shuffle.
 
     Defined cases: null, empty and blank fields, and fields without any value, give no rows; an empty quoted value is no
     value; repeats keep their places; a field of any length is read whole; repeated rows give repeated results; other
     columns are ignored.
     """
     base = rows.select(*[F.col(c).alias(f"_id{i}") for i, c in enumerate(ids)], F.col(field).cast("string").alias("field"))
-    base = base.where("field is not null and trim(field) <> ''").withColumn("fid", F.unhex(F.sha2("field", 256)))
-    fields = base.groupBy("fid").agg(F.first("field").alias("field"), F.count(F.lit(1)).alias("n"))
+    base = materialise(base.where("field is not null and trim(field) <> ''").withColumn("fid", F.unhex(F.sha2("field", 256))), "fields")
+    fields = materialise(base.groupBy("fid").agg(F.first("field").alias("field"), F.count(F.lit(1)).alias("n")), "distinct")
     chosen = choose_dialects(fields, chars).select("fid", "dialect")
-    hot = hot_keys(base.select("fid"), "fid")
-    known = lookup_join(base, chosen, "fid", hot)
+    known = lookup_join(base, chosen, "fid", hot_keys(fields, "fid", weight="n"))
     style = F.element_at(F.split("dialect", "/"), -1)
     parsed = F.when(style == "all", _values(F.col("field"), chars, "all"))
     for q in QUOTES:
