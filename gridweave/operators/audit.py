@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,36 +49,37 @@ def audit_rows(texts: DataFrame, labels: DataFrame, group: list[str]) -> tuple[D
     return unmatched, missing, coverage.fillna(0, ["matched"])
 
 
-def assign(scores: Sequence[Sequence[int]], anchors: Sequence[int | None]) -> list[int | None]:
-    """The table of each page, or none, so that tables follow one another and as many bands as possible are explained.
+def assign(scores: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """The table of each page, or -1, so that tables follow one another and as many bands as possible are explained.
+
+    scores: pages x tables; anchors: the table that a page's caption names, or -1. Such a page can only go there and weighs ANCHOR
+    more. Of equal sums a table takes no page, before it takes one, before a page is left out.
 
-    A page whose caption names a table can only go there and weighs ANCHOR more. Of equal sums: leave the table out before
-    taking the page, and that before leaving the page out.
+    A table that takes pages up to p earns what the tables before it had earned up to some q, and its own gains from there: with
+    prefix sums of the gains that is one running maximum over the pages, cut where a caption names another table.
     """
-    n, m = len(scores), len(scores[0]) if scores else 0
-    total = [[0] * (m + 1) for _ in range(n + 1)]
-    came: dict[tuple[int, int], str] = {}
-    for t in range(1, m + 1):
-        for p in range(1, n + 1):
-            anchor = anchors[p - 1]
-            gain = scores[p - 1][t - 1] + (ANCHOR if anchor == t - 1 else 0)
-            value, how = total[p][t - 1], "skip"
-            if gain > 0 and anchor in (None, t - 1) and total[p - 1][t] + gain > value:
-                value, how = total[p - 1][t] + gain, "take"
-            if anchor is None and total[p - 1][t] > value:
-                value, how = total[p - 1][t], "leave"
-            total[p][t] = value
-            came[p, t] = how
-    out: list[int | None] = [None] * n
-    p, t = n, m
-    while p and t:
-        how = came[p, t]
-        if how == "skip":
-            t -= 1
-            continue
-        if how == "take":
-            out[p - 1] = t - 1
-        p -= 1
+    n, m = scores.shape
+    gain = scores + np.where(anchors[:, None] == np.arange(m), ANCHOR, 0)
+    free = anchors[:, None] == -1
+    takes = (gain > 0) & (free | (anchors[:, None] == np.arange(m)))
+    closed = ~takes & ~free
+    before = np.zeros(n + 1, np.int64)
+    rests = np.zeros((m, n + 1), bool)  # the table adds nothing at this page
+    for t in range(m):
+        sums = np.concatenate([[0], np.cumsum(np.where(takes[:, t], gain[:, t], 0))])
+        after = np.empty_like(before)
+        cuts = np.concatenate([[0], np.flatnonzero(closed[:, t]) + 1, [n + 1]])
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            after[a:b] = sums[a:b] + np.maximum.accumulate(before[a:b] - sums[a:b])
+        rests[t] = after == before
+        before = after
+    out = np.full(n, -1)
+    page = n
+    for t in range(m - 1, -1, -1):
+        while page and not rests[t, page]:
+            if takes[page - 1, t]:
+                out[page - 1] = t
+            page -= 1
     return out
 
 
@@ -96,14 +96,14 @@ def assign_pages(scores: DataFrame, group: list[str], anchors: DataFrame | None
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pages, tables = sorted(pdf["page"].unique()), sorted(pdf["table"].unique())
         at_p, at_t = {p: i for i, p in enumerate(pages)}, {t: i for i, t in enumerate(tables)}
-        grid = [[0] * len(tables) for _ in pages]
-        fixed: list[int | None] = [None] * len(pages)
+        grid = np.zeros((len(pages), len(tables)), np.int64)
+        fixed = np.full(len(pages), -1)
         for p, t, s, a in zip(pdf["page"], pdf["table"], pdf["score"], pdf["anchor"]):
             if a:
                 fixed[at_p[p]] = at_t[t]
             else:
-                grid[at_p[p]][at_t[t]] += int(s)
-        got = [(*key, p, tables[i]) for p, i in zip(pages, assign(grid, fixed)) if i is not None]
+                grid[at_p[p], at_t[t]] += int(s)
+        got = [(*key, p, tables[i]) for p, i in zip(pages, assign(grid, fixed).tolist()) if i >= 0]
         return pd.DataFrame(got, columns=[*group, "page", "table"])
 
     schema = ", ".join(f"{c} {kinds[c]}" for c in [*group, "page", "table"])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridweave.session import map_arrow, shared_dir
+from gridweave.session import map_arrow, work_dir
 
 
 @dataclass(frozen=True)
@@ -366,7 +366,7 @@ class Variants:
 def route_variants(records: DataFrame, record_id: str, payload: str, children: list[Child], path: str | None = None) -> Variants:
     """flatten() with every row written, in one pass, to the subtype table that its shape is routed to."""
     spark = records.sparkSession
-    path = path or f"{shared_dir(spark)}/gridweave/variants-{uuid.uuid4().hex}"
+    path = path or f"{work_dir(spark)}/variants-{uuid.uuid4().hex}"
     flatten(records, record_id, payload, children).write.partitionBy("child_name", "subtype").parquet(path)
     return Variants(spark, path)
 

@@ -29,12 +29,15 @@ def build_session(cores: int | str = "*", app: str = "gridweave", **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Only where the session names none (tests, a laptop) an own one is made and set."""
+    """The folder of spark.checkpoint.dir. Only a local session that names none (tests, a laptop) gets an own one, made and set here;
+    on a cluster that is an error, as a folder of one machine is none that the executors share."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
     own = spark.conf.get("gridweave.shared.dir", None)
     if own is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         own = tempfile.mkdtemp(prefix="gridweave-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         spark.conf.set("gridweave.shared.dir", own)
@@ -42,9 +45,31 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one. It goes when the driver's Python ends, or by clean()."""
+    sc = spark.sparkContext
+    path = f"{shared_dir(spark)}/gridweave/{sc.applicationId}"
+    if sc.applicationId not in _working:
+        _working.add(sc.applicationId)
+        atexit.register(clean, spark)
+    return path
+
+
+_working: set[str] = set()
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove what materialise() kept for this application; results that still read it are void."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/gridweave/{sc.applicationId}")
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it from there: cuts the lineage, survives the loss of executors."""
-    path = f"{shared_dir(df.sparkSession)}/gridweave/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -62,7 +87,7 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(packed, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent).as_posix())
-    target = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/gridweave/package-{uuid.uuid4().hex}/gridweave.zip")
+    target = sc._jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/package-{uuid.uuid4().hex}/gridweave.zip")
     out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
     out.write(bytearray(packed.getvalue()))
     out.close()

@@ -1,5 +1,7 @@
+import functools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,15 +277,39 @@ def test_assign_is_optimal():
         n, m = rng.randrange(1, 5), rng.randrange(1, 4)
         scores = [[rng.randrange(4) for _ in range(m)] for _ in range(n)]
         anchors = [None] * n
-        got = audit.assign(scores, anchors)
-        assert sum(scores[p][t] for p, t in enumerate(got) if t is not None) == brute_assign(scores, anchors)
-    assert audit.assign([[5, 0], [5, 1], [0, 5]], [None, 1, None]) == [0, 1, 1]
-    assert audit.assign([], []) == []
+        got = audit.assign(np.array(scores), np.full(n, -1)).tolist()
+        assert sum(scores[p][t] for p, t in enumerate(got) if t >= 0) == brute_assign(scores, anchors)
+    assert audit.assign(np.array([[5, 0], [5, 1], [0, 5]]), np.array([-1, 1, -1])).tolist() == [0, 1, 1]
+    assert audit.assign(np.zeros((0, 0), int), np.zeros(0, int)).tolist() == []
+    for _ in range(200):
+        n, m = rng.randrange(1, 9), rng.randrange(1, 5)
+        scores = [[rng.choice([0, 0, 1, 2, 3]) for _ in range(m)] for _ in range(n)]
+        anchors = [rng.choice([-1, -1, -1, rng.randrange(m)]) for _ in range(n)]
+
+        @functools.cache
+        def best(p, t):  # (value, choice) of the first p pages and t tables, by the order of ties
+            if not p or not t:
+                return 0, None
+            options = [(best(p, t - 1)[0], "rest")]
+            if anchors[p - 1] in (-1, t - 1) and (scores[p - 1][t - 1] or anchors[p - 1] == t - 1):
+                options.append((best(p - 1, t)[0] + scores[p - 1][t - 1] + (audit.ANCHOR if anchors[p - 1] == t - 1 else 0), "take"))
+            if anchors[p - 1] == -1:
+                options.append((best(p - 1, t)[0], "leave"))
+            return max(options, key=lambda o: o[0])
+
+        want, p, t = [-1] * n, n, m
+        while p and t:
+            how = best(p, t)[1]
+            if how == "rest":
+                t -= 1
+                continue
+            if how == "take":
+                want[p - 1] = t - 1
+            p -= 1
+        assert audit.assign(np.array(scores), np.array(anchors)).tolist() == want
 
 
 def test_geometry(spark):
-    import numpy as np
-
     mask = np.array([[1, 1, 0], [1, 0, 0], [0, 1, 1]], bool)
     assert geometry.longest_runs(mask, 0).tolist() == [2, 1, 1] and geometry.longest_runs(mask, 1).tolist() == [2, 1, 2]
     assert geometry.grouped(np.array([1, 2, 5, 9, 11])) == [(1, 2), (5, 5), (9, 11)]
