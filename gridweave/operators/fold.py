@@ -1,7 +1,7 @@
 """Entity resolution that depends on the order of rows: a fold over the tables of a group, as grouped-map pandas.
 
 Each match changes what the next row sees (the parents of an entity, the tables it is in), so no join can express it. Groups are
-independent: one shuffle on the group.
+independent; so are, in a large group, the names that no chain of matches links, and each such component is folded by itself.
 """
 
 from __future__ import annotations
@@ -9,16 +9,20 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from gridweave.session import ship
+from gridweave.operators.matching import overlap_join
+from gridweave.session import materialise, ship
 
 #: Scores from which a match within a parent is taken, goes to review, and one across parents is taken.
 AUTO, REVIEW, CROSS, LEAST = 0.85, 0.60, 0.90, 0.5
+#: Rows of a group beyond which it is folded by components.
+SPLIT_ROWS = 20_000
 
 SCHEMA = (
     "{group}, table_number int, pos {pos}, xact_id string, match_status string, match_confidence double, entity_parent string, "
-    "entity_name string, entity_status string, entity_confidence double"
+    "entity_name string, entity_status string, entity_confidence double, _part long, _i int, _first int"
 )
 
 
@@ -99,11 +103,13 @@ def fold(rows: pd.DataFrame) -> pd.DataFrame:
     state = Entities()
     rows = rows.sort_values(["is_base", "table_rank", "pos"], ascending=[False, True, True], kind="stable")
     out = []
-    for table, pos, base, name, parent, header in zip(rows["table_number"], rows["pos"], rows["is_base"], rows["name"], rows["parent"], rows["header"]):
+    first: list[int] = []
+    for at, (table, pos, base, name, parent, header) in enumerate(zip(rows["table_number"], rows["pos"], rows["is_base"], rows["name"], rows["parent"], rows["header"])):
         parent = parent or ""
         i, status, score = (None, "new", 0.0) if base else state.find(name, parent, table)
         if i is None:
             i, status, score = state.create(name, parent, bool(header), table), "new", 1.0
+            first.append(at)
         else:
             state.join(i, parent, table, status, score)
         out.append((table, pos, i, status, score))
@@ -111,25 +117,63 @@ def fold(rows: pd.DataFrame) -> pd.DataFrame:
     got["xact_id"] = [f"xact-{i + 1:03d}" for i in got["_i"]]
     for col, src in (("entity_parent", state.parent), ("entity_name", state.name), ("entity_status", state.status), ("entity_confidence", state.confidence)):
         got[col] = [src[i] for i in got["_i"]]
-    return got.drop(columns="_i")
-
-
-def resolve_entities(df: DataFrame, group: list[str]) -> DataFrame:
+    got["_first"] = [int(first[i] == at) for at, i in enumerate(got["_i"])]  # whether the row made its entity
+    return got
+
+
+def components(names: DataFrame, group: list[str]) -> DataFrame:
+    """group, name, part: distinct names of groups, with equal parts where a chain of names, each like the next, leads from one to the
+    other. Labels sink to the smallest along links and through their own labels, so that a chain takes about log rounds."""
+    nodes = materialise(names.withColumn("node", F.monotonically_increasing_id()), "names")
+    pairs = overlap_join(nodes, nodes, group, "name", "name", LEAST)
+    links = materialise(pairs.where("l_node <> r_node").select(F.col("l_node").alias("a"), F.col("r_node").alias("b")), "links")
+    labels = materialise(nodes.select("node", F.col("node").alias("part")), "labels")
+    while True:
+        near = links.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("part").alias("low")).withColumnRenamed("a", "node")
+        sunk = labels.join(near, "node", "left").select("node", F.least("part", F.coalesce("low", "part")).alias("up"), "part")
+        jumped = sunk.join(labels.select(F.col("node").alias("up"), F.col("part").alias("of_up")), "up").select("node", F.least("up", "of_up").alias("now"), "part")
+        jumped = materialise(jumped, "labels")
+        labels = jumped.select("node", F.col("now").alias("part"))
+        if jumped.where("now <> part").isEmpty():
+            return nodes.join(labels, "node").select(*group, "name", "part")
+
+
+def resolve_entities(df: DataFrame, group: list[str], split_rows: int = SPLIT_ROWS) -> DataFrame:
     """One row for each input row (group, table_number, table_rank, is_base, pos, name, parent, header) with its entity.
 
     Base tables come first and never match each other; the others follow by rank. An entity takes at most one row of each
-    table. A null name is taken as empty. Result columns as in SCHEMA; ids are minted in order of creation.
+    table. A null name is taken as empty. ids are minted in order of creation. A group of more than split_rows rows is folded by
+    components: a row only ever looks at entities whose names are equal or like its own (a score of LEAST), so names
+    that no chain of such links connects do not see each other.
     """
     ship(df.sparkSession)
     kinds = dict(df.dtypes)
+    need = [*group, "table_number", "table_rank", "is_base", "pos", "name", "parent", "header"]
+    rows = df.select(*need).withColumn("name", F.coalesce("name", F.lit("")))
+    large = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows).drop("_n")
+    split = not large.isEmpty()
+    if split:
+        rows = materialise(rows, "rows")
+        large = materialise(large, "large")
+        names = rows.join(large, group, "left_semi").select(*group, "name").distinct()
+        rows = rows.join(components(names, group).withColumnRenamed("part", "_part"), [*group, "name"], "left").withColumn("_part", F.coalesce("_part", F.lit(-1)))
+    else:
+        rows = rows.withColumn("_part", F.lit(-1).cast("long"))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf["name"] = pdf["name"].fillna("")
         pdf["parent"] = pdf["parent"].fillna("")
-        out = fold(pdf)
+        out = fold(pdf).assign(_part=key[-1])
         for i, g in enumerate(group):
             out.insert(i, g, key[i])
         return out
 
-    need = [*group, "table_number", "table_rank", "is_base", "pos", "name", "parent", "header"]
-    return df.select(*need).groupBy(*group).applyInPandas(run, SCHEMA.format(pos=kinds["pos"], group=", ".join(f"{g} {kinds[g]}" for g in group)))
+    out = rows.groupBy(*group, "_part").applyInPandas(run, SCHEMA.format(pos=kinds["pos"], group=", ".join(f"{g} {kinds[g]}" for g in group)))
+    if split:
+        out = materialise(out, "folded")
+        turn = rows.select(*group, "_part", "table_number", "pos", (~F.col("is_base")).alias("_late"), "table_rank")
+        made = out.where("_part >= 0 and _first = 1").join(turn, [*group, "_part", "table_number", "pos"])
+        order = Window.partitionBy(*group).orderBy("_late", "table_rank", "pos", "table_number", "_part", "_i")
+        minted = made.withColumn("_id", F.format_string("xact-%03d", F.row_number().over(order))).select(*group, "_part", "_i", "_id")
+        whole = out.where("_part < 0")
+        out = whole.unionByName(out.where("_part >= 0").join(minted, [*group, "_part", "_i"]).withColumn("xact_id", F.col("_id")).drop("_id"))
+    return out.drop("_part", "_i", "_first")

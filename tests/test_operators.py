@@ -382,3 +382,20 @@ def test_containment_of_any_length(spark, least):
     b = spark.createDataFrame([("g", x, i) for i, x in enumerate(stacks)] + [("h", needles[0], 99)], "g string, s string, i int")
     got = sorted((r["n"], r["i"]) for r in matching.contains_join(a.distinct(), b, ["g"], "n", "s", least).collect())
     assert got == sorted((x, i) for x in {x for x in needles if x} for i, s in enumerate(stacks) if s and x in s)
+
+
+def test_fold_by_components_equals_fold_of_the_group(spark):
+    rng = random.Random(4)
+    words = ["blood", "count", "panel", "liver", "urine", "visit", "signs", "vital", "dose", "diary", "pain", "survey"]
+    rows = []
+    for g in "gh":
+        for t in range(1, 6):
+            for p in range(25):
+                name = " ".join(rng.sample(words, rng.choice([1, 2, 2, 3]))) if rng.random() < 0.95 else rng.choice(["", "ab"])
+                rows.append((g, t, t, t == 1, p, name, rng.choice(["", "Labs", "Visits"]), rng.random() < 0.1))
+    df = spark.createDataFrame(rows, "g string, table_number int, table_rank int, is_base boolean, pos int, name string, parent string, header boolean")
+    whole = {tuple(r) for r in fold.resolve_entities(df, ["g"]).collect()}
+    assert len(whole) == len(rows) and {tuple(r) for r in fold.resolve_entities(df, ["g"], split_rows=10).collect()} == whole
+    names = spark.createDataFrame([("g", n) for n in ("a one", "one two", "two", "red hat", "hat", "")], "g string, name string")
+    parts = {r["name"]: r["part"] for r in fold.components(names, ["g"]).collect()}
+    assert parts["a one"] == parts["one two"] == parts["two"] and parts["red hat"] == parts["hat"] and len(set(parts.values())) == 3
