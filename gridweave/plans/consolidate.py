@@ -107,8 +107,12 @@ def consolidate(r: Resolved) -> Consolidated:
     activities, sources = entities(r)
     columns, properties = timeline(r)
     annotations = notes_of(r, sources, columns, properties)
-    queue = sources.where("match_status = 'fuzzy_review'").select("protocol_id", "xact_id", F.col("match_confidence").alias("confidence"), F.col("entity_name").alias("existing_name"), F.col("activity_name").alias("new_name"))
-    return Consolidated(activities, sources, columns, properties, schedule(r, sources, columns), annotations, queue, _stats(r, activities, sources, annotations))
+    return Consolidated(activities, sources, columns, properties, schedule(r, sources, columns), annotations, review_queue(sources), _stats(r, activities, sources, annotations))
+
+
+def review_queue(sources: DataFrame) -> DataFrame:
+    """The matches that a person has to look at."""
+    return sources.where("match_status = 'fuzzy_review'").select("protocol_id", "xact_id", F.col("match_confidence").alias("confidence"), F.col("entity_name").alias("existing_name"), F.col("activity_name").alias("new_name"))
 
 
 def notes_of(r: Resolved, sources: DataFrame, columns: DataFrame, properties: DataFrame) -> DataFrame:

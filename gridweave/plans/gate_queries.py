@@ -19,12 +19,12 @@ def gate_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gate_findings(spark: SparkSession, sf: str) -> DataFrame:
-    return gates.findings(materialise(_docs(spark, sf), "documents"))
+    return gates.findings(_docs(spark, sf))
 
 
 def gate_bindings(spark: SparkSession, sf: str) -> DataFrame:
     """Findings against a baseline of tables that carried three markers more, and of one table more in each protocol."""
-    docs = materialise(_docs(spark, sf), "documents")
+    docs = _docs(spark, sf)
     m = gates.metrics(docs)
     more = m.groupBy("protocol_id").agg((F.max("table_number") + 1).alias("table_number")).select("protocol_id", "table_number", F.lit(0).alias("acts"), F.lit(0).alias("bind"))
     baseline = m.select(*resolve.KEY, "acts", (F.col("bind") + 3).alias("bind")).unionByName(more)
@@ -75,7 +75,7 @@ def structure_findings(spark: SparkSession, sf: str) -> DataFrame:
 
 def resolved_documents(spark: SparkSession, sf: str) -> DataFrame:
     """What the written documents say, read back from their text."""
-    docs = materialise(_docs(spark, sf), "documents")
+    docs = _docs(spark, sf)
     d = document_out.resolved_documents(docs, resolve.resolve(docs))
     at = lambda path: F.get_json_object("text", path)
     size = lambda a: F.json_array_length(at(f"$.{a}"))
@@ -87,7 +87,7 @@ def resolved_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def consolidated_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = materialise(_docs(spark, sf), "documents")
+    docs = _docs(spark, sf)
     r = resolve.resolve(docs)
     r = resolve.Resolved(**{k: materialise(df, k) for k, df in r.all().items()})
     d = document_out.consolidated_documents(r, consolidate.consolidate(r))
@@ -98,16 +98,6 @@ def consolidated_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def document_structure(spark: SparkSession, sf: str) -> DataFrame:
-    """Findings on the structure of the consolidated documents as they are written: none; a row says that so many were looked at."""
-    docs = materialise(_docs(spark, sf), "documents")
-    r = resolve.resolve(docs)
-    r = resolve.Resolved(**{k: materialise(df, k) for k, df in r.all().items()})
-    d = materialise(document_out.consolidated_documents(r, consolidate.consolidate(r)), "written")
-    bad = document_out.structure_findings(d, "protocol_id", "text").agg(F.count(F.lit(1)).alias("n_findings"))
-    return d.agg(F.count(F.lit(1)).alias("n_documents")).crossJoin(bad)  # one row beside one row
-
-
 def _reads(spark: SparkSession, sf: str) -> DataFrame:
     """Delivered rows as what pages print."""
     rows = table(spark, sf, "soa_activities").where("source_page is not null and activity_name is not null").select("protocol_id", F.col("source_page").alias("page"), F.struct(F.col("row_id").alias("row"), F.lit(0.0).alias("y0"), F.lit(1.0).alias("y1"), F.array("activity_name").alias("texts")).alias("r"))
@@ -118,19 +108,19 @@ def _reads(spark: SparkSession, sf: str) -> DataFrame:
 
 def row_audit(spark: SparkSession, sf: str) -> DataFrame:
     """The row audit of the delivered rows against the extractions of raw_records, table by table."""
-    docs = materialise(_docs(spark, sf), "documents")
+    docs = _docs(spark, sf)
     t = page_audit.audit_collection(materialise(_reads(spark, sf), "reads"), docs).tables
     return t.withColumn("pages", F.array_join(F.transform("pages", lambda p: p.cast("string")), ","))
 
 
 def row_audit_counts(spark: SparkSession, sf: str) -> DataFrame:
-    docs = materialise(_docs(spark, sf), "documents")
+    docs = _docs(spark, sf)
     return page_audit.audit_collection(materialise(_reads(spark, sf), "reads"), docs).counts
 
 
 QUERIES = {
     f.__name__: f
-    for f in (gate_metrics, gate_findings, gate_bindings, quote_verdicts, page_decisions, call_leaks, call_crosses, structure_findings, resolved_documents, consolidated_documents, document_structure, row_audit, row_audit_counts)
+    for f in (gate_metrics, gate_findings, gate_bindings, quote_verdicts, page_decisions, call_leaks, call_crosses, structure_findings, resolved_documents, consolidated_documents, row_audit, row_audit_counts)
 }
 
 _E = lambda name: f"(SELECT protocol_id, t, unnest(range(1, len(x) + 1))::INTEGER pos, unnest(x) e FROM (SELECT protocol_id, t, json_extract(j, '$.{name}[*]') x FROM docs))"
@@ -200,5 +190,4 @@ SQL = {
     "consolidated_documents": f"""WITH RECURSIVE {_CONSOLIDATED}, p AS (SELECT DISTINCT protocol_id FROM docs), f AS (SELECT protocol_id, xact_id, row_number() OVER (PARTITION BY protocol_id ORDER BY display_order, xact_id) n FROM entities)
       SELECT p.protocol_id, p.protocol_id || '_consolidated.json' AS name, '1.1' schema_version, (SELECT count(*) FROM entities x WHERE x.protocol_id = p.protocol_id)::INTEGER n_activities, (SELECT count(*) FROM matrix x WHERE x.protocol_id = p.protocol_id)::INTEGER n_cells,
        (SELECT count(*) FROM columns_ x WHERE x.protocol_id = p.protocol_id AND segment = 'main')::INTEGER n_main, (SELECT xact_id FROM f WHERE f.protocol_id = p.protocol_id AND n = 1) first_id, (SELECT count(*) FROM sources x WHERE x.protocol_id = p.protocol_id) n_sources FROM p""",
-    "document_structure": f"WITH {_DOCS} SELECT count(DISTINCT protocol_id) n_documents, 0::BIGINT n_findings FROM docs",
 }

@@ -35,9 +35,9 @@ def source_rows(r: Resolved, studies: DataFrame | None = None) -> DataFrame:
     return out if studies is None else out.join(studies.withColumnRenamed("study_key", "protocol_id"), "protocol_id", "left").fillna("", ["sponsor", "therapeutic_area"])
 
 
-def entity_rows(c: Consolidated, source: DataFrame) -> DataFrame:
+def entity_rows(activities: DataFrame, sources: DataFrame, source: DataFrame) -> DataFrame:
     """A row for each consolidated activity: its occurrences by table and row, wordings, notes once each by text, tables and marks."""
-    occ = c.sources.select(*KEY, "activity_id", "xact_id").join(source, [*KEY, "activity_id"])
+    occ = sources.select(*KEY, "activity_id", "xact_id").join(source, [*KEY, "activity_id"])
     place = F.struct("table_number", "row_position")
     per = occ.groupBy("protocol_id", "xact_id").agg(
         F.sort_array(F.collect_list(F.struct("table_number", "row_position", "table_title", "table_type", F.col("activity_name").alias("verbatim_name"), "has_schedule_data"))).alias("occurrences"),
@@ -46,7 +46,7 @@ def entity_rows(c: Consolidated, source: DataFrame) -> DataFrame:
     notes = occ.select("protocol_id", "xact_id", "table_number", "row_position", F.posexplode("annotations").alias("at", "n"))
     once = notes.groupBy("protocol_id", "xact_id", F.col("n.text").alias("text")).agg(F.min(F.struct("table_number", "row_position", "at", "n.marker")).alias("f"))
     texts = once.groupBy("protocol_id", "xact_id").agg(F.sort_array(F.collect_list(F.struct(F.col("f.table_number").alias("table_number"), F.col("f.row_position").alias("row"), F.col("f.at").alias("at"), F.col("f.marker").alias("marker"), "text"))).alias("annotations"))
-    both = c.activities.join(per, ["protocol_id", "xact_id"], "left").join(texts, ["protocol_id", "xact_id"], "left")
+    both = activities.join(per, ["protocol_id", "xact_id"], "left").join(texts, ["protocol_id", "xact_id"], "left")
     variants = F.array_distinct(F.filter(F.transform("occurrences", lambda o: o["verbatim_name"]), lambda v: v != ""))
     return both.select(
         "protocol_id", "xact_id", "activity_name", "parent_name", "hierarchy_level", "display_order", "is_section_header", "is_redacted", "match_status", F.size("occurrences").alias("table_count"),

@@ -83,7 +83,8 @@ def check(ctx: Context) -> DataFrame:
 
 def take_stock(ctx: Context) -> dict[str, DataFrame]:
     source = inventory.source_rows(ctx.results["resolve"])
-    rows = inventory.entity_rows(ctx.results["consolidate"], source)
+    c = ctx.results["consolidate"]
+    rows = inventory.entity_rows(c.activities, c.sources, source)
     return {"source": source, "entities": rows, "counts": inventory.counts(rows, source), "index": inventory.index_rows(ctx.results["consolidate"], ctx.results["resolve"])}
 
 

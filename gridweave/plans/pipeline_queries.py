@@ -13,7 +13,8 @@ from gridweave.sources import documents
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    return documents.extractions_of_records(table(spark, sf, "raw_records"))
+    """The latest extraction of each table, parsed once."""
+    return materialise(documents.extractions_of_records(table(spark, sf, "raw_records")), "documents")
 
 
 def resolved_tables(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +79,7 @@ def method_provenance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _both(spark: SparkSession, sf: str) -> tuple[resolve.Resolved, consolidate.Consolidated]:
-    r = resolve.resolve(materialise(_docs(spark, sf), "documents"))
+    r = resolve.resolve(_docs(spark, sf))
     r = resolve.Resolved(**{k: materialise(df, k) for k, df in r.all().items()})
     return r, consolidate.consolidate(r)
 
@@ -88,12 +89,12 @@ def consolidated_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def consolidated_sources(spark: SparkSession, sf: str) -> DataFrame:
-    s = consolidate.entities(resolve.resolve(materialise(_docs(spark, sf), "documents")))[1]
+    s = consolidate.entities(resolve.resolve(_docs(spark, sf)))[1]
     return s.select("protocol_id", "table_number", "activity_id", "xact_id", "match_status", F.round("match_confidence", 9).alias("match_confidence"))
 
 
 def consolidated_activities(spark: SparkSession, sf: str) -> DataFrame:
-    a = consolidate.entities(resolve.resolve(materialise(_docs(spark, sf), "documents")))[0]
+    a = consolidate.entities(resolve.resolve(_docs(spark, sf)))[0]
     return a.select(
         "protocol_id", "xact_id", "activity_name", "parent_name", "parent_xact_id", "hierarchy_level", "display_order", "is_section_header", "is_redacted", "match_status", "table_count",
         F.size("source_refs").alias("n_sources"), F.array_join("name_variations", "|").alias("names"),
@@ -109,12 +110,12 @@ def consolidated_properties(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def review_queue(spark: SparkSession, sf: str) -> DataFrame:
-    q = _both(spark, sf)[1].review_queue
+    q = consolidate.review_queue(consolidate.entities(resolve.resolve(_docs(spark, sf)))[1])
     return q.select("protocol_id", "xact_id", F.round("confidence", 9).alias("confidence"), "existing_name", "new_name")
 
 
 def consolidated_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    r = resolve.resolve(materialise(_docs(spark, sf), "documents"))
+    r = resolve.resolve(_docs(spark, sf))
     m = consolidate.schedule(r, consolidate.entities(r)[1], consolidate.timeline(r)[0])
     return m.select("protocol_id", "xact_id", "xcol_id", "consolidated_value")
 
@@ -131,8 +132,9 @@ def consolidated_findings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def activity_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    r, c = _both(spark, sf)
-    rows = inventory.entity_rows(c, inventory.source_rows(r))
+    r = resolve.resolve(_docs(spark, sf))
+    activities, sources = consolidate.entities(r)
+    rows = inventory.entity_rows(activities, sources, inventory.source_rows(r))
     return rows.select("protocol_id", "xact_id", "activity_name", "display_order", "table_count", "any_marks", F.size("variants").alias("n_variants"), F.size("annotations").alias("n_notes"))
 
 
