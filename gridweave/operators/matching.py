@@ -117,10 +117,22 @@ def label_matches(printed: DataFrame, labels: DataFrame, group: list[str], text:
     """
     a = printed.select(*group, text).distinct().withColumn("_p", norm_key(F.col(text))).where("_p <> ''")
     b = labels.select(*group, label).distinct().withColumn("_k", F.explode(label_keys(F.col(label)))).where("_k <> ''")
-    asked = a.select(*group, "_p").distinct().withColumn("_key", F.explode(_printed_keys(F.col("_p"))))
-    given = b.select(*group, "_k").distinct().withColumn("_key", F.explode(_label_keys(F.col("_k"))))
-    near = asked.join(given, [*group, "_key"]).select(*group, "_p", "_k").distinct()
-    scored = near.withColumn("_s", match_score(F.col("_p"), F.col("_k"))).where("_s.kind > 0")
+    p = a.select(*group, "_p").distinct().withColumn("_ph", F.xxhash64(*group, "_p"))
+    k = b.select(*group, "_k").distinct().withColumn("_kh", F.xxhash64(*group, "_k"))
+    place = F.xxhash64(*group)
+    # few rows give many keys: they are spread by number, or their small size would put them into one task
+    tasks = max(int(p.sparkSession.conf.get("spark.sql.shuffle.partitions")), p.sparkSession.sparkContext.defaultParallelism)
+    asked = p.repartition(tasks, "_ph").select("_ph", F.explode(F.transform(_printed_keys(F.col("_p")), lambda x: F.xxhash64(place, x))).alias("_key"))
+    given = k.select("_kh", F.explode(F.transform(_label_keys(F.col("_k")), lambda x: F.xxhash64(place, x))).alias("_key"))
+    near = asked.join(given, "_key").select("_ph", "_kh").distinct()  # only hashes travel; what they confuse is told apart below
+    others = k.select("_kh", "_k", *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)])
+    met = near.join(p, "_ph").join(others, "_kh")
+    for i, g in enumerate(group):
+        met = met.where(F.col(g) == F.col(f"_g{i}"))
+    extra = F.length("_p") - F.length("_k") + 1
+    ends = F.substring(F.col("_p"), F.lit(1), extra).contains(F.substring("_k", 1, 1)) & F.right("_p", extra).contains(F.right("_k", F.lit(1)))
+    met = met.where(ends | F.col("_p").startswith(F.col("_k")) | F.col("_k").startswith(F.col("_p")))  # what a match has at least
+    scored = met.select(*group, "_p", "_k", match_score(F.col("_p"), F.col("_k")).alias("_s")).where("_s.kind > 0")
     top = all_best(a.join(scored, [*group, "_p"]), [*group, text], F.col("_s"))
     return top.join(b, [*group, "_k"]).select(*group, text, label, F.col("_s.kind").alias("kind"), F.col("_s.n").alias("n")).distinct()
 
