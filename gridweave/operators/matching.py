@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridweave.functions.text import contains_in_order, label_keys, norm_key, overlap_of_sets, word_set
-from gridweave.session import map_arrow, materialise
+from gridweave.session import kept, map_arrow, materialise
 
 #: Length of the strings by which containment is blocked where all texts that are looked for are as long.
 GRAM = 8
@@ -208,13 +208,14 @@ def contains_join(needles: DataFrame, stacks: DataFrame, group: list[str], needl
 def _contained(n: DataFrame, s: DataFrame, group: list[str], needle: str, stack: str, gram: int, window: int) -> DataFrame:
     in_stacks = _grams(s.select(*group, "_sk", stack).distinct(), [*group, "_sk"], stack, gram, window)
     of_needle = _grams(n.select(*group, "_nk", needle).distinct(), [*group, "_nk"], needle, gram, window)
+    of_needle = kept(of_needle, "needle_grams")
     wanted = in_stacks.join(of_needle.select(*group, "_g").distinct(), [*group, "_g"], "left_semi")
-    wanted = materialise(wanted, "grams")
+    wanted = kept(wanted, "grams")
     count = wanted.groupBy(*group, "_g").agg(F.count(F.lit(1)).alias("_n"))
     rarest = of_needle.join(count, [*group, "_g"], "left").groupBy(*group, "_nk").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("_b"))
     by = rarest.where("_b.n > 0").select(*group, "_nk", F.col("_b._g").alias("_g"))
-    pairs = by.join(wanted, [*group, "_g"]).select(*group, "_nk", "_sk").distinct()
-    return pairs.join(n, [*group, "_nk"]).join(s, [*group, "_sk"]).where(F.col(stack).contains(F.col(needle))).drop("_nk", "_sk")
+    pairs = kept(by.join(wanted, [*group, "_g"]).select(*group, "_nk", "_sk").distinct(), "near")
+    return pairs.join(n.hint("merge"), [*group, "_nk"]).join(s.hint("merge"), [*group, "_sk"]).where(F.col(stack).contains(F.col(needle))).drop("_nk", "_sk")
 
 
 def longest_unique(pairs: DataFrame, key: list[str], size: Column) -> DataFrame:

@@ -74,6 +74,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """materialise() for a table that grows with the data: joins right above it sort both sides. Its compressed size may look small enough
+    to broadcast, but what a broadcast builds from it passes the driver, and many of them at once fill it."""
+    return materialise(df, label).hint("merge")
+
+
 _shipped: set[str] = set()
 
 
