@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridweave.functions.text import is_blank, norm_key
 from gridweave.operators.islands import after_first
 from gridweave.operators.matching import label_matches
-from gridweave.session import materialise, ship
+from gridweave.session import kept, ship
 
 #: Weight of a caption against label matches; longest label; what makes a column one of labels.
 ANCHOR, NOTE_CHARS, COLUMN_RATE, COLUMN_LEAST = 1000, 150, 0.5, 2
@@ -32,18 +32,18 @@ def audit_rows(texts: DataFrame, labels: DataFrame, group: list[str]) -> tuple[D
     matched row of their page that match no label, is_note for such as are too long for one. missing: labels never seen.
     coverage: bands and matched ones of each page. Groups without label column have no unmatched and no missing rows.
     """
-    matches = materialise(label_matches(texts, labels, group, "text", "label"), "matches")
-    columns = materialise(label_columns(texts, matches, group), "columns")
-    inside = texts.join(columns, [*group, "column"])
+    matches = kept(label_matches(texts, labels, group, "text", "label"), "matches")
+    columns = kept(label_columns(texts, matches, group), "columns")
+    inside = kept(texts.join(columns, [*group, "column"]), "inside")
     hit = inside.join(matches.select(*group, "text").distinct().withColumn("_hit", F.lit(True)), [*group, "text"], "left")
     rows = hit.groupBy(*group, "page", "row").agg(F.coalesce(F.bool_or("_hit"), F.lit(False)).alias("found"))
-    body = after_first(rows, [*group, "page"], ["row"], "found")
+    body = kept(after_first(rows, [*group, "page"], ["row"], "found"), "body")
     open_rows = body.where("in_body and not found").select(*group, "page", "row")
     unmatched = inside.where(~is_blank(F.col("text"))).join(open_rows, [*group, "page", "row"])
     unmatched = unmatched.select(*group, "page", "row", "column", "text", (F.length(norm_key(F.col("text"))) > NOTE_CHARS).alias("is_note"))
     seen = inside.select(*group, "text").distinct().join(matches, [*group, "text"]).select(*group, "label").distinct()
     audited = columns.select(*group).distinct()
-    missing = labels.select(*group, "label").distinct().join(audited, group, "left_semi").join(seen, [*group, "label"], "left_anti")
+    missing = labels.select(*group, "label").distinct().join(audited, group, "left_semi").join(seen.hint("merge"), [*group, "label"], "left_anti")
     bands = texts.groupBy(*group, "page").agg(F.countDistinct("row").alias("bands"))
     coverage = bands.join(body.groupBy(*group, "page").agg(F.count_if("found").alias("matched")), [*group, "page"], "left")
     return unmatched, missing, coverage.fillna(0, ["matched"])

@@ -115,8 +115,21 @@ def label_matches(printed: DataFrame, labels: DataFrame, group: list[str], text:
     Texts and labels are made distinct, and only those that share a key are compared: equal ones, beginnings, and, since of a
     label with up to MARKER_CHARS characters between its own one of as many parts and one stays whole, its parts at their places.
     """
-    a = printed.select(*group, text).distinct().withColumn("_p", norm_key(F.col(text))).where("_p <> ''")
-    b = labels.select(*group, label).distinct().withColumn("_k", F.explode(label_keys(F.col(label)))).where("_k <> ''")
+    a, b, scored = _scored(printed, labels, group, text, label)
+    top = all_best(a.join(scored, [*group, "_p"]), [*group, text], F.col("_s"))
+    return top.join(b, [*group, "_k"]).select(*group, text, label, F.col("_s.kind").alias("kind"), F.col("_s.n").alias("n")).distinct()
+
+
+def labels_met(printed: DataFrame, labels: DataFrame, group: list[str], text: str, label: str) -> DataFrame:
+    """Every label that a printed text of a group matches at all, the best or not: group, text, label."""
+    a, b, scored = _scored(printed, labels, group, text, label)
+    return a.join(scored, [*group, "_p"]).join(b, [*group, "_k"]).select(*group, text, label).distinct()
+
+
+def _scored(printed: DataFrame, labels: DataFrame, group: list[str], text: str, label: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(printed texts with their form _p, labels with each of theirs _k, pairs of forms with a score _s): see label_matches()."""
+    a = kept(printed.select(*group, text).distinct().withColumn("_p", norm_key(F.col(text))).where("_p <> ''"), "printed")
+    b = kept(labels.select(*group, label).distinct().withColumn("_k", F.explode(label_keys(F.col(label)))).where("_k <> ''"), "labels")
     p = a.select(*group, "_p").distinct().withColumn("_ph", F.xxhash64(*group, "_p"))
     k = b.select(*group, "_k").distinct().withColumn("_kh", F.xxhash64(*group, "_k"))
     place = F.xxhash64(*group)
@@ -124,7 +137,7 @@ def label_matches(printed: DataFrame, labels: DataFrame, group: list[str], text:
     tasks = max(int(p.sparkSession.conf.get("spark.sql.shuffle.partitions")), p.sparkSession.sparkContext.defaultParallelism)
     asked = p.repartition(tasks, "_ph").select("_ph", F.explode(F.transform(_printed_keys(F.col("_p")), lambda x: F.xxhash64(place, x))).alias("_key"))
     given = k.select("_kh", F.explode(F.transform(_label_keys(F.col("_k")), lambda x: F.xxhash64(place, x))).alias("_key"))
-    near = asked.join(given, "_key").select("_ph", "_kh").distinct()  # only hashes travel; what they confuse is told apart below
+    near = kept(asked.join(given, "_key").select("_ph", "_kh").distinct(), "near")  # only hashes travel; what they confuse is told apart below
     others = k.select("_kh", "_k", *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)])
     met = near.join(p, "_ph").join(others, "_kh")
     for i, g in enumerate(group):
@@ -132,9 +145,7 @@ def label_matches(printed: DataFrame, labels: DataFrame, group: list[str], text:
     extra = F.length("_p") - F.length("_k") + 1
     ends = F.substring(F.col("_p"), F.lit(1), extra).contains(F.substring("_k", 1, 1)) & F.right("_p", extra).contains(F.right("_k", F.lit(1)))
     met = met.where(ends | F.col("_p").startswith(F.col("_k")) | F.col("_k").startswith(F.col("_p")))  # what a match has at least
-    scored = met.select(*group, "_p", "_k", match_score(F.col("_p"), F.col("_k")).alias("_s")).where("_s.kind > 0")
-    top = all_best(a.join(scored, [*group, "_p"]), [*group, text], F.col("_s"))
-    return top.join(b, [*group, "_k"]).select(*group, text, label, F.col("_s.kind").alias("kind"), F.col("_s.n").alias("n")).distinct()
+    return a, b, met.select(*group, "_p", "_k", match_score(F.col("_p"), F.col("_k")).alias("_s")).where("_s.kind > 0")
 
 
 def winnow(texts: list[str], gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:

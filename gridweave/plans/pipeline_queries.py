@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from gridweave.plans import consolidate, inventory, resolve, validate
 from gridweave.plans.catalogue import _MARKERS, _NORM_NOTE, fold_sql
 from gridweave.plans.problems import table
-from gridweave.session import materialise
+from gridweave.session import kept, materialise
 from gridweave.sources import documents
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
     """The latest extraction of each table, parsed once."""
-    return materialise(documents.extractions_of_records(table(spark, sf, "raw_records")), "documents")
+    return kept(documents.extractions_of_records(table(spark, sf, "raw_records")), "documents")
 
 
 def resolved_tables(spark: SparkSession, sf: str) -> DataFrame:
