@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridweave.operators.matching import overlap_join
-from gridweave.session import materialise, ship
+from gridweave.session import kept, ship
 
 #: Scores from which a match within a parent is taken, goes to review, and one across parents is taken.
 AUTO, REVIEW, CROSS, LEAST = 0.85, 0.60, 0.90, 0.5
@@ -124,15 +124,15 @@ def fold(rows: pd.DataFrame) -> pd.DataFrame:
 def components(names: DataFrame, group: list[str]) -> DataFrame:
     """group, name, part: distinct names of groups, with equal parts where a chain of names, each like the next, leads from one to the
     other. Labels sink to the smallest along links and through their own labels, so that a chain takes about log rounds."""
-    nodes = materialise(names.withColumn("node", F.monotonically_increasing_id()), "names")
+    nodes = kept(names.withColumn("node", F.monotonically_increasing_id()), "names")
     pairs = overlap_join(nodes, nodes, group, "name", "name", LEAST)
-    links = materialise(pairs.where("l_node <> r_node").select(F.col("l_node").alias("a"), F.col("r_node").alias("b")), "links")
-    labels = materialise(nodes.select("node", F.col("node").alias("part")), "labels")
+    links = kept(pairs.where("l_node <> r_node").select(F.col("l_node").alias("a"), F.col("r_node").alias("b")), "links")
+    labels = kept(nodes.select("node", F.col("node").alias("part")), "labels")
     while True:
         near = links.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("part").alias("low")).withColumnRenamed("a", "node")
         sunk = labels.join(near, "node", "left").select("node", F.least("part", F.coalesce("low", "part")).alias("up"), "part")
         jumped = sunk.join(labels.select(F.col("node").alias("up"), F.col("part").alias("of_up")), "up").select("node", F.least("up", "of_up").alias("now"), "part")
-        jumped = materialise(jumped, "labels")
+        jumped = kept(jumped, "labels")
         labels = jumped.select("node", F.col("now").alias("part"))
         if jumped.where("now <> part").isEmpty():
             return nodes.join(labels, "node").select(*group, "name", "part")
@@ -153,8 +153,8 @@ def resolve_entities(df: DataFrame, group: list[str], split_rows: int = SPLIT_RO
     large = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows).drop("_n")
     split = not large.isEmpty()
     if split:
-        rows = materialise(rows, "rows")
-        large = materialise(large, "large")
+        rows = kept(rows, "rows")
+        large = kept(large, "large")
         names = rows.join(large, group, "left_semi").select(*group, "name").distinct()
         rows = rows.join(components(names, group).withColumnRenamed("part", "_part"), [*group, "name"], "left").withColumn("_part", F.coalesce("_part", F.lit(-1)))
     else:
@@ -169,7 +169,7 @@ def resolve_entities(df: DataFrame, group: list[str], split_rows: int = SPLIT_RO
 
     out = rows.groupBy(*group, "_part").applyInPandas(run, SCHEMA.format(pos=kinds["pos"], group=", ".join(f"{g} {kinds[g]}" for g in group)))
     if split:
-        out = materialise(out, "folded")
+        out = kept(out, "folded")
         turn = rows.select(*group, "_part", "table_number", "pos", (~F.col("is_base")).alias("_late"), "table_rank")
         made = out.where("_part >= 0 and _first = 1").join(turn, [*group, "_part", "table_number", "pos"])
         order = Window.partitionBy(*group).orderBy("_late", "table_rank", "pos", "table_number", "_part", "_i")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridweave.session import map_arrow, materialise
+from gridweave.session import kept, map_arrow
 
 #: Levels that are told apart by running maxima; rows of more are walked with a stack.
 MOST_LEVELS = 64
@@ -98,7 +98,7 @@ def preorder(df: DataFrame, group: list[str], ident: str, parent: str, order: li
     gs = [f"g{i}" for i in range(len(group))]
     siblings = Window.partitionBy(*group, parent).orderBy(*order)
     paths = df.select(*[F.col(g).alias(x) for g, x in zip(group, gs)], F.col(ident).alias("id"), F.col(parent).alias("up"), F.array(F.row_number().over(siblings)).alias("path"))
-    paths = materialise(paths, "nodes")
+    paths = kept(paths, "nodes")
     waiting = paths.where("up is not null").count()
     while waiting:
         above = paths.select(*[F.col(x).alias(f"_{x}") for x in gs], F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("path").alias("_path"))
@@ -106,7 +106,7 @@ def preorder(df: DataFrame, group: list[str], ident: str, parent: str, order: li
         for x in gs:
             same = same & F.col(x).eqNullSafe(F.col(f"_{x}"))
         longer = paths.where("up is not null").join(above, same).select(*gs, "id", F.col("_up").alias("up"), F.concat("_path", "path").alias("path"))
-        paths = materialise(paths.where("up is null").unionByName(longer), "nodes")
+        paths = kept(paths.where("up is null").unionByName(longer), "nodes")
         left = paths.where("up is not null").count()
         if left == waiting:
             break

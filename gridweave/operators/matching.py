@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridweave.functions.text import contains_in_order, label_keys, norm_key, overlap_of_sets, word_set
-from gridweave.session import kept, map_arrow, materialise
+from gridweave.session import kept, map_arrow
 
 #: Length of the strings by which containment is blocked where all texts that are looked for are as long.
 GRAM = 8
@@ -39,6 +39,7 @@ def overlap_join(left: DataFrame, right: DataFrame, group: list[str], left_name:
         return each.withColumn("leads", F.row_number().over(order) <= lead).select(*group, "w", f"{side}_id", F.col("n").alias(f"{side}_n"), F.col("leads").alias(f"{side}_leads"))
 
     x, y = listed(a, "l"), listed(b, "r")
+    y = y.hint("merge")
     one = x.where("l_leads").join(y, [*group, "w"]).where("l_n <= r_n")
     two = x.join(y.where("r_leads"), [*group, "w"]).where("r_n < l_n")
     pairs = one.select(*group, "l_id", "r_id").unionByName(two.select(*group, "l_id", "r_id")).distinct()
@@ -50,7 +51,7 @@ def _worded(df: DataFrame, group: list[str], name: str, side: str) -> DataFrame:
     """The rows of a side with a number and their words, kept so that the numbers stay; rows without words match nothing."""
     cols = [F.col(c).alias(f"{side}_{c}") for c in df.columns if c not in group]
     named = df.select(*group, *cols, word_set(F.col(name)).alias(f"{side}_w")).where(F.size(f"{side}_w") > 0)
-    return materialise(named.withColumn(f"{side}_id", F.monotonically_increasing_id()), f"words_{side}")
+    return kept(named.withColumn(f"{side}_id", F.monotonically_increasing_id()), f"words_{side}")
 
 
 def best(pairs: DataFrame, key: list[str], score: Column, order: list[str]) -> DataFrame:

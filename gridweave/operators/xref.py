@@ -25,7 +25,7 @@ def collected(edges: DataFrame, by: list[str], value: str, order: list[str], nam
 
 def with_fallback(primary: DataFrame, secondary: DataFrame, key: list[str]) -> DataFrame:
     """Rows of primary, and those of secondary whose key has none there."""
-    return primary.unionByName(secondary.join(primary.select(*key).distinct(), key, "left_anti"))
+    return primary.unionByName(secondary.join(primary.select(*key).distinct().hint("merge"), key, "left_anti"))
 
 
 def undefined(refs: DataFrame, defined: DataFrame, key: list[str]) -> DataFrame:

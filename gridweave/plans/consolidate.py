@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridweave.functions import classify, text
 from gridweave.operators import fold, hierarchy, ids, matrix, merge, report, xref
 from gridweave.plans.resolve import KEY, Resolved
-from gridweave.session import materialise
+from gridweave.session import kept
 
 STATUSES = ["exact", "fuzzy_auto", "fuzzy_cross_parent", "fuzzy_review", "new"]
 
@@ -52,10 +52,11 @@ def entities(r: Resolved) -> tuple[DataFrame, DataFrame]:
         *KEY, F.col("table_number").alias("table_rank"), (F.col("table_type") == "main_soa").alias("is_base"), "pos", F.col("activity_name").alias("name"),
         F.coalesce("parent", F.lit("")).alias("parent"), F.col("is_section_header").alias("header"),
     )
+    rows = kept(rows, "rows")
     made = fold.resolve_entities(rows, ["protocol_id"])
     own = acts.select(*KEY, "pos", "table_id", "activity_id", "row_position", "activity_name", "hierarchy_level", "is_section_header", "is_redacted", "table_type")
     parents = rows.select(*KEY, "pos", "parent")
-    sources = materialise(made.join(own, [*KEY, "pos"]).join(parents, [*KEY, "pos"]), "sources").withColumn("turn", F.struct(F.when(F.col("table_type") == "main_soa", 0).otherwise(1).alias("b"), F.col("table_number").alias("t"), F.col("pos").alias("p")))
+    sources = kept(made.join(own.hint("merge"), [*KEY, "pos"]).join(parents, [*KEY, "pos"]), "sources").withColumn("turn", F.struct(F.when(F.col("table_type") == "main_soa", 0).otherwise(1).alias("b"), F.col("table_number").alias("t"), F.col("pos").alias("p")))
     first = lambda c, name=None: F.min_by(c, "turn").alias(name or c)
     each = sources.groupBy("protocol_id", "xact_id").agg(
         first("entity_name", "activity_name"), first("entity_parent", "parent_name"), first("hierarchy_level"), first("is_section_header"), F.bool_or("is_redacted").alias("is_redacted"),
@@ -68,7 +69,7 @@ def entities(r: Resolved) -> tuple[DataFrame, DataFrame]:
     by_name = each.groupBy("protocol_id", F.col("activity_name").alias("_up")).agg(F.min_by("xact_id", made_at).alias("parent_xact_id"))
     primary = F.nullif(F.element_at(F.split("parent_name", " / "), 1), F.lit(""))
     each = each.withColumn("_up", primary).join(by_name, ["protocol_id", "_up"], "left").drop("_up").withColumn("made", made_at)
-    each = materialise(each, "entities")
+    each = kept(each, "entities")
     order = hierarchy.preorder(each, ["protocol_id"], "xact_id", "parent_xact_id", ["first_place", "made"], "display_order")
     return each.join(order, ["protocol_id", "xact_id"]).drop("first_place", "made"), sources.drop("turn")
 
@@ -105,7 +106,9 @@ def schedule(r: Resolved, sources: DataFrame, columns: DataFrame) -> DataFrame:
 def consolidate(r: Resolved) -> Consolidated:
     """One shuffle by protocol for the fold of entities; everything else joins on ids within a protocol."""
     activities, sources = entities(r)
+    activities = kept(activities, "activities")
     columns, properties = timeline(r)
+    columns, properties = kept(columns, "columns"), kept(properties, "properties")
     annotations = notes_of(r, sources, columns, properties)
     return Consolidated(activities, sources, columns, properties, schedule(r, sources, columns), annotations, review_queue(sources), _stats(r, activities, sources, annotations))
 
@@ -121,10 +124,10 @@ def notes_of(r: Resolved, sources: DataFrame, columns: DataFrame, properties: Da
     Truth is the markers of rows; only notes for which those give no activity are bound by their recorded locations."""
     to_xact = sources.select(*KEY, "activity_id", "xact_id")
     to_xcol = columns.select(*KEY, "column_id", "xcol_id")
-    to_prop = r.properties.withColumn("prop_key", property_key()).select(*KEY, F.col("property_id").alias("element"), "prop_key").join(properties.select("protocol_id", "prop_key", F.col("property_id").alias("target")), ["protocol_id", "prop_key"])
+    to_prop = r.properties.withColumn("prop_key", property_key()).select(*KEY, F.col("property_id").alias("element"), "prop_key").join(properties.select("protocol_id", "prop_key", F.col("property_id").alias("target")), ["protocol_id", "prop_key"]).hint("merge")
     notes = r.annotations.withColumn("ord", F.row_number().over(Window.partitionBy("protocol_id").orderBy("table_number", "pos")))
     note = notes.select(*KEY, "annotation_id", "ord")
-    edges = r.edges.join(note, [*KEY, "annotation_id"])
+    edges = kept(r.edges.join(note, [*KEY, "annotation_id"]), "edges")
     of = lambda kind: edges.where(F.col("kind") == kind)
     direct = of("activity").join(to_xact.withColumnRenamed("activity_id", "element"), [*KEY, "element"]).select("protocol_id", "ord", F.col("ordinal").alias("o"), "xact_id")
     places = notes.select(*KEY, "ord", F.posexplode("marker_locations").alias("o", "l")).where("l.location_type in ('activity_name', 'schedule_cell')")
@@ -142,15 +145,15 @@ def notes_of(r: Resolved, sources: DataFrame, columns: DataFrame, properties: Da
     ]
     full = notes.select("protocol_id", "ord", "annotation_type", "annotation_text", F.col("table_number").alias("table_num"), F.col("annotation_marker").alias("marker"), "annotation_id")
     for df in lists:
-        full = full.join(df, key, "left")
+        full = full.join(kept(df, "references"), key, "left")
     refs = ["referenced_xacts", "referenced_xcols", "referenced_props", "cell_references"]
     merged = merge.merge_equal(full, ["protocol_id"], text.norm_note(F.coalesce("annotation_text", F.lit(""))), "ord", ["annotation_type", "annotation_text"], refs, ["table_num", "marker", "annotation_id"])
-    merged = materialise(merged, "merged_notes")
+    merged = kept(merged, "merged_notes")
     merged = ids.mint_in_order(merged, "xannot_id", "xannot", ["protocol_id"], [F.col("first_order")])
     occ = merged.select("protocol_id", "xannot_id", F.posexplode("occurrences").alias("at", "o")).select("protocol_id", "xannot_id", "at", "o.table_num", "o.marker")
     shown = merge.display_markers(occ, ["protocol_id", "xannot_id"], "marker", "table_num", "display_markers", order="at")
     annotations = merged.join(shown, ["protocol_id", "xannot_id"], "left").withColumnRenamed("occurrences", "source_occurrences").withColumnRenamed("n_occurrences", "occurrence_count")
-    return materialise(annotations, "notes")
+    return kept(annotations, "notes")
 
 
 def _stats(r: Resolved, activities: DataFrame, sources: DataFrame, annotations: DataFrame) -> DataFrame:
@@ -163,7 +166,7 @@ def _stats(r: Resolved, activities: DataFrame, sources: DataFrame, annotations:
     types = kinds.groupBy("protocol_id").agg(F.sum("k").alias("unified_annotation_count"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("annotation_type", "k")))).alias("by_type"))
     out = r.tables.select("protocol_id").distinct()
     for df in (matched, n, src, notes, types):
-        out = out.join(df, "protocol_id", "left")
+        out = out.join(df.hint("merge"), "protocol_id", "left")
     out = out.fillna(0)
     return out.withColumns({
         "compression_percent": report.percent_less(F.col("unified_activity_count"), F.col("source_activity_count")),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridweave.plans import consolidate, inventory, resolve, validate
 from gridweave.plans.catalogue import _MARKERS, _NORM_NOTE, fold_sql
 from gridweave.plans.problems import table
-from gridweave.session import kept, materialise
+from gridweave.session import kept
 from gridweave.sources import documents
 
 
@@ -79,8 +79,7 @@ def method_provenance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _both(spark: SparkSession, sf: str) -> tuple[resolve.Resolved, consolidate.Consolidated]:
-    r = resolve.resolve(_docs(spark, sf))
-    r = resolve.Resolved(**{k: materialise(df, k) for k, df in r.all().items()})
+    r = resolve.resolve(_docs(spark, sf), kept)
     return r, consolidate.consolidate(r)
 
 
@@ -127,7 +126,7 @@ def consolidated_notes(spark: SparkSession, sf: str) -> DataFrame:
 
 def consolidated_findings(spark: SparkSession, sf: str) -> DataFrame:
     r, c = _both(spark, sf)
-    c = consolidate.Consolidated(**{k: materialise(df, k) for k, df in c.all().items()})
+    c.matrix = kept(c.matrix, "matrix")
     return validate.findings(c, r).groupBy("severity", "step").agg(F.count(F.lit(1)).alias("n"))
 
 

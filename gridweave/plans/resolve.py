@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -36,11 +37,12 @@ def _by_row(df: DataFrame, ident: str) -> DataFrame:
     return df.groupBy(*KEY, "row_position").agg(F.max_by(ident, "pos").alias(ident))
 
 
-def resolve(docs: DataFrame) -> Resolved:
+def resolve(docs: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = lambda df, _: df) -> Resolved:
     """docs: protocol_id, table_number, file, doc (see sources.documents). Everything is keyed and shuffled by KEY.
 
     Array positions are ranks of ids. Cells and header cells whose row has no activity or property are dropped. Documents that
-    lack an array are left out of all tables but `tables`, where `errors` names it; see table_status().
+    lack an array are left out of all tables but `tables`, where `errors` names it; see table_status(). keep (session.kept) writes what
+    several tables are made of, for callers that use most of them: else each has all that it is made of in its plan.
     """
     docs = docs.select(*KEY, "file", F.col("doc.table_metadata").alias("meta"), *[F.col(f"doc.{a}").alias(a) for a in ("schedule_properties", "schedule_grid", "activities", "activity_schedule", "annotations")])
     parts = ["schedule_properties", "schedule_grid", "activities", "activity_schedule", "annotations"]
@@ -49,29 +51,32 @@ def resolve(docs: DataFrame) -> Resolved:
     good = docs.where(F.size("errors") == 0)
 
     props = ids.elements(good, "schedule_properties", KEY).withColumn("property_id", ids.mint("prop", F.col("pos")))
-    props = hierarchy.parent_previous(props, KEY, ["pos"], "hierarchical_level", "property_id", "parent_property_id")
+    props = keep(hierarchy.parent_previous(props, KEY, ["pos"], "hierarchical_level", "property_id", "parent_property_id"), "properties")
     acts = ids.elements(good, "activities", KEY).withColumn("activity_id", ids.mint("act", F.col("pos")))
     acts = acts.withColumn("hierarchy_level", F.coalesce("activity_name_source.indentation_level", F.lit(0)))
-    acts = hierarchy.parent_smaller(acts, KEY, ["pos"], "hierarchy_level", "activity_id", "parent_activity_id")
-    grid = fill.fill_merged(ids.elements(good, "schedule_grid", KEY), KEY, "merged_cell_range", "cell_value", ["pos"])
-    raw_cells = ids.elements(good, "activity_schedule", KEY)
-    notes = ids.elements(good, "annotations", KEY).withColumn("annotation_id", ids.mint("annot", F.col("pos")))
+    acts = keep(hierarchy.parent_smaller(acts, KEY, ["pos"], "hierarchy_level", "activity_id", "parent_activity_id"), "activities")
+    grid = keep(fill.fill_merged(ids.elements(good, "schedule_grid", KEY), KEY, "merged_cell_range", "cell_value", ["pos"]), "grid")
+    raw_cells = keep(ids.elements(good, "activity_schedule", KEY), "raw_cells")
+    notes = keep(ids.elements(good, "annotations", KEY).withColumn("annotation_id", ids.mint("annot", F.col("pos"))), "notes")
 
     # columns
     col_id = ids.mint("col", F.col("column_position"))
     values = grid.join(_by_row(props, "property_id"), [*KEY, "row_position"]).select(
         *KEY, "pos", "column_position", col_id.alias("column_id"), "property_id", F.coalesce("cell_value", F.lit("")).alias("value"), F.coalesce("is_merged_cell", F.lit(False)).alias("is_merged"), "annotation_markers"
     )
+    values = keep(values, "column_values")
     labels = values.where("value <> ''").groupBy(*KEY, "column_position").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "value"))), lambda x: x["value"]), " / ").alias("composite_label"))
     columns = grid.select(*KEY, "column_position").distinct().join(labels, [*KEY, "column_position"], "left").select(
         *KEY, col_id.alias("column_id"), "column_position", (F.col("column_position") == 1).alias("is_label_column"), F.coalesce("composite_label", F.lit("")).alias("composite_label")
     )
+    columns = keep(columns, "columns")
 
     # cells and flags of activities
     cells = raw_cells.join(_by_row(acts, "activity_id"), [*KEY, "row_position"]).select(
         *KEY, "pos", "activity_id", col_id.alias("column_id"), "row_position", "column_position", F.coalesce("cell_value", F.lit("")).alias("cell_value"),
         classify.cell_kind(F.col("cell_value")).alias("cell_value_type"), F.coalesce("source_range", F.lit("")).alias("source_range"), "annotation_markers",
     )
+    cells = keep(cells, "cells")
     data = raw_cells.where(~text.is_blank(F.col("cell_value"))).select(*KEY, "row_position", F.lit(True).alias("has_schedule_data")).distinct()
     parents = acts.where("parent_activity_id is not null").select(*KEY, F.col("parent_activity_id").alias("activity_id"), F.lit(True).alias("has_children")).distinct()
     acts = acts.join(data, [*KEY, "row_position"], "left").join(parents, [*KEY, "activity_id"], "left").fillna(False, ["has_schedule_data", "has_children"])
@@ -79,6 +84,7 @@ def resolve(docs: DataFrame) -> Resolved:
         "is_section_header": hierarchy.section_header(F.col("hierarchy_level"), F.col("has_children"), F.col("has_schedule_data")),
         "is_redacted": classify.is_redacted(F.col("activity_name")),
     })
+    acts = keep(acts, "activities")
 
     # cross-references: four kinds of elements by marker; only columns are made distinct
     marks = text.marker_list(F.col("annotation_markers"))
@@ -88,8 +94,10 @@ def resolve(docs: DataFrame) -> Resolved:
     refs = refs.unionByName(xref.references(cells, KEY, pair, marks, "cell", F.col("pos")))
     refs = refs.unionByName(xref.references(grid, KEY, col_id, marks, "column", F.col("pos"), distinct=True))
     edges = xref.link(notes.select(*KEY, F.col("pos").alias("note_pos"), "annotation_id", F.col("annotation_marker").alias("marker")), refs, KEY)
+    edges = keep(edges, "edges")
     flags = edges.groupBy(*KEY, "annotation_id").agg(*[F.bool_or(F.col("kind") == k).alias(f"_{k}") for k in ("property", "column", "activity", "cell")])
     notes = notes.join(flags, [*KEY, "annotation_id"], "left").fillna(False, ["_property", "_column", "_activity", "_cell"])
+    notes = keep(notes, "notes")
     kind = classify.resolved_type(F.col("annotation_type"), F.col("annotation_text"))
     annotations = notes.select(
         *KEY, "pos", "annotation_id", "annotation_marker", kind.alias("annotation_type"),
@@ -97,6 +105,7 @@ def resolve(docs: DataFrame) -> Resolved:
         "annotation_text", classify.scope(F.col("_property"), F.col("_column"), F.col("_activity"), F.col("_cell")).alias("annotation_scope"), "marker_locations",
     )
 
+    annotations = keep(annotations, "annotations")
     warnings = _warnings(props, acts, raw_cells, grid, notes, annotations)
     tables = docs.select(
         *KEY, "file", ids.mint("table", F.col("table_number")).alias("table_id"), F.coalesce("meta.table_type", F.lit("main_soa")).alias("table_type"), F.coalesce("meta.table_title", F.lit("")).alias("table_title"),
@@ -105,6 +114,7 @@ def resolve(docs: DataFrame) -> Resolved:
         F.greatest(F.coalesce(F.array_max(F.transform("schedule_properties", lambda p: p["row_position"])), F.lit(0)), F.coalesce(F.array_max(F.transform("activities", lambda a: a["row_position"])), F.lit(0)), F.lit(0)).alias("row_count"),
         F.size(F.array_distinct(F.transform("schedule_grid", lambda g: g["column_position"]))).alias("column_count"),
     )
+    tables = keep(tables, "tables")
     return Resolved(tables, props, columns, values, acts, cells, annotations, edges, warnings)
 
 

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from gridweave.operators import quality, xref
 from gridweave.plans.consolidate import Consolidated, source_tables
 from gridweave.plans.resolve import Resolved
+from gridweave.session import kept
 
 #: The form of the ids, of three digits and of more from 1,000 on, and from how many pairs and characters text counts as damaged.
 FORMS = {"xact_id": r"\Axact-\d{3,}\z", "xcol_id": r"\Axcol-\d{3,}\z", "xannot_id": r"\Axannot-\d{3,}\z"}
 PAIRS, BLOCK = 3, 100
+#: Kinds of findings that are planned and written together.
+STEPS = 5
 
 
 def findings(c: Consolidated, r: Resolved | None = None) -> DataFrame:
@@ -55,9 +58,13 @@ def findings(c: Consolidated, r: Resolved | None = None) -> DataFrame:
     if r is not None:
         lost = source_tables(r).select("protocol_id", F.explode("property_hierarchy").alias("p")).select("protocol_id", F.col("p.property_name").alias("property_name")).where("property_name <> ''")
         add(xref.undefined(lost, c.properties, ["protocol_id", "property_name"]), "warning", "property_missing", F.col("property_name"))
-    df = out[0]
-    for o in out[1:]:
-        df = df.unionByName(o)
+    df = None
+    for i in range(0, len(out), STEPS):  # one plan of all of them would fill the driver
+        some = out[i]
+        for o in out[i + 1 : i + STEPS]:
+            some = some.unionByName(o)
+        some = kept(some, "findings")
+        df = some if df is None else df.unionByName(some)
     return df
 
 
