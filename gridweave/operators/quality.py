@@ -48,7 +48,7 @@ def binding_conflicts(notes: DataFrame, key: list[str], tables: Column, names: C
 
 def partial_bindings(declared: DataFrame, marked: DataFrame, key: list[str], row: str) -> DataFrame:
     """key, row: rows that are declared for a key which is marked somewhere, but not there."""
-    known = marked.select(*key, row).distinct()
+    known = marked.select(*key, row).distinct().hint("merge")
     return declared.select(*key, row).distinct().join(known.select(*key).distinct(), key, "left_semi").join(known, [*key, row], "left_anti")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridweave.operators import hierarchy, xref
 from gridweave.plans import consolidate, resolve
 from gridweave.plans.resolve import KEY
+from gridweave.session import kept
 from gridweave.sources.sinks import to_document
 
 #: Names and versions of the documents, and the segments of a timeline.
@@ -80,7 +81,7 @@ def resolved_documents(docs: DataFrame, r: resolve.Resolved, made_at: Column | N
     of = {k: xref.collected(r.edges.where(F.col("kind") == k), [*KEY, "annotation_id"], "element", ["ordinal", "element"], k) for k in ("property", "column", "activity", "cell")}
     notes = r.annotations.join(table, KEY)
     for df in of.values():
-        notes = notes.join(df, [*KEY, "annotation_id"], "left")
+        notes = notes.join(df.hint("merge"), [*KEY, "annotation_id"], "left")
     pair = F.transform(F.coalesce("cell", F.array().cast("array<string>")), lambda x: F.struct(F.split_part(x, F.lit("|"), F.lit(1)).alias("activity_id"), F.split_part(x, F.lit("|"), F.lit(2)).alias("column_id")))
     none = F.array().cast("array<string>")
     notes = _list(notes, KEY, ["pos"], [
@@ -91,9 +92,9 @@ def resolved_documents(docs: DataFrame, r: resolve.Resolved, made_at: Column | N
     said = r.warnings.groupBy(*KEY).agg(F.array_sort(F.collect_list("message")).alias("validation_warnings"))
     how = resolve.provenance(docs).groupBy(*KEY).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "n")))).alias("method_provenance"))
     head = docs.select(*KEY, F.col("doc.extraction_metadata").alias("em"), F.col("doc.schema_name").alias("sn"), F.col("doc.schema_version").alias("sv"), F.coalesce("doc.table_metadata.notes", F.lit("")).alias("table_notes"))
-    out = r.tables.where(F.size("errors") == 0).join(head, KEY).join(resolve.table_status(r).select(*KEY, "status"), KEY)
+    out = r.tables.where(F.size("errors") == 0).join(head, KEY).join(resolve.table_status(r).select(*KEY, "status").hint("merge"), KEY)
     for df in (said, how, props, columns, acts, cells, notes):
-        out = out.join(df, KEY, "left")
+        out = out.join(kept(df, "lists"), KEY, "left")
     meta = F.struct(
         *map(F.col, ("table_id", "table_number", "table_type", "table_title", "table_purpose", "page_start", "page_end", "track_label", "column_count", "row_count", "header_row_count", "activity_row_count")), F.col("table_notes").alias("notes")
     )
@@ -139,7 +140,7 @@ def consolidated_documents(r: resolve.Resolved, c: consolidate.Consolidated, mad
     ], "source_tables", ("track_label",))
     out = c.stats
     for df in (acts, segments, matrix, notes, queue, props, tables):
-        out = out.join(df, key, "left")
+        out = out.join(kept(df, "lists"), key, "left")
     counts = F.struct(*[F.col(f"n_{s}").alias(s) for s in consolidate.STATUSES])
     annotation = F.struct("source_annotation_count", "unified_annotation_count", "deduplication_percent", "by_type")
     meta = _object([

@@ -11,7 +11,7 @@ from gridweave.plans import consolidate, document_out, gates, page_audit, resolv
 from gridweave.plans.catalogue import _MARKERS, _NORM_NOTE, _SQUEEZE
 from gridweave.plans.pipeline_queries import _CONSOLIDATED, _DOCS, _RESOLVED, _docs
 from gridweave.plans.problems import table
-from gridweave.session import materialise
+from gridweave.session import kept, materialise
 
 
 def gate_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,7 +76,9 @@ def structure_findings(spark: SparkSession, sf: str) -> DataFrame:
 def resolved_documents(spark: SparkSession, sf: str) -> DataFrame:
     """What the written documents say, read back from their text."""
     docs = _docs(spark, sf)
-    d = document_out.resolved_documents(docs, resolve.resolve(docs))
+    r = resolve.resolve(docs, kept)
+    r.warnings = kept(r.warnings, "warnings")
+    d = document_out.resolved_documents(docs, r)
     at = lambda path: F.get_json_object("text", path)
     size = lambda a: F.json_array_length(at(f"$.{a}"))
     return d.select(
@@ -88,8 +90,7 @@ def resolved_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def consolidated_documents(spark: SparkSession, sf: str) -> DataFrame:
     docs = _docs(spark, sf)
-    r = resolve.resolve(docs)
-    r = resolve.Resolved(**{k: materialise(df, k) for k, df in r.all().items()})
+    r = resolve.resolve(docs, kept)
     d = document_out.consolidated_documents(r, consolidate.consolidate(r))
     at = lambda path: F.get_json_object("text", path)
     return d.select(

@@ -15,7 +15,7 @@ def plans(spark, since):
     return [e.physicalPlanDescription() for e in (store.executionsList().apply(i) for i in range(store.executionsList().size())) if e.executionId() >= since]
 
 
-@pytest.mark.parametrize("name", ["quote_verdicts", "row_audit", "row_audit_counts", "consolidated_findings", "consolidated_notes", "consolidated_statistics"])
+@pytest.mark.parametrize("name", ["quote_verdicts", "row_audit", "row_audit_counts", "consolidated_findings", "consolidated_notes", "consolidated_statistics", "resolved_documents", "consolidated_documents"])
 def test_no_join_is_broadcast(spark, name):
     import __spark_entry__ as entry
 
