@@ -25,14 +25,15 @@ def label_columns(texts: DataFrame, matches: DataFrame, group: list[str]) -> Dat
     return per.where((F.col("m") >= COLUMN_LEAST) & (F.col("m") / F.col("n") >= COLUMN_RATE)).select(*group, "column")
 
 
-def audit_rows(texts: DataFrame, labels: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def audit_rows(texts: DataFrame, labels: DataFrame, group: list[str], matches: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(unmatched, missing, coverage) of the printed rows of each group (a table) against its labels.
 
     texts: group, page, row, column, text; labels: group, label. unmatched: printed texts in label columns below the first
     matched row of their page that match no label, is_note for such as are too long for one. missing: labels never seen.
     coverage: bands and matched ones of each page. Groups without label column have no unmatched and no missing rows.
+    matches: what label_matches() gives of them, where that is known.
     """
-    matches = kept(label_matches(texts, labels, group, "text", "label"), "matches")
+    matches = kept(label_matches(texts, labels, group, "text", "label") if matches is None else matches, "matches")
     columns = kept(label_columns(texts, matches, group), "columns")
     inside = kept(texts.join(columns, [*group, "column"]), "inside")
     hit = inside.join(matches.select(*group, "text").distinct().withColumn("_hit", F.lit(True)), [*group, "text"], "left")

@@ -82,32 +82,39 @@ def match_score(printed: Column, key: Column) -> Column:
     )
 
 
-def _parts(n: Column, extra: int) -> list[tuple[Column, Column]]:
-    """(start from 0, length) of the extra + 1 parts of a text of n characters."""
-    cuts = [F.floor(n * i / (extra + 1)) for i in range(extra + 2)]
-    return [(cuts[i], cuts[i + 1] - cuts[i]) for i in range(extra + 1)]
+#: (characters a label lacks, number of its part, how far that has moved): every place where a part can have stayed whole.
+_PLACES = [(extra, i, shift) for extra in range(1, MARKER_CHARS + 1) for i in range(extra + 1) for shift in range(extra + 1)]
+
+
+def _each(places: list[tuple], key) -> Column:
+    """The keys of all places: one expression for each value, as a plan that spells them out fills the driver."""
+    at = F.array(*[F.struct(F.lit(e).alias("e"), F.lit(i).alias("i"), F.lit(s).alias("s")) for e, i, s in places])
+
+    def of(t: Column) -> Column:
+        return key(t["e"], t["i"], t["s"])
+
+    return F.transform(at, of)
+
+
+def _part_key(text: Column, n: Column, extra: Column, i: Column, shift: Column) -> Column:
+    """The key of part i of extra + 1 of a label of n characters, read in text `shift` further on; null for labels too short."""
+    cut = lambda j: F.floor(n * j / (extra + 1)).cast("int")
+    return F.when(n >= LEAST_MARKED, F.concat_ws("|", F.concat(extra.cast("string"), F.lit("."), i.cast("string")), n.cast("string"), F.substring(text, cut(i) + 1 + shift, cut(i + 1) - cut(i))))
 
 
 def _printed_keys(p: Column) -> Column:
     """All keys under which a label that match_score() gives a kind may stand, of a printed text in audit form: itself; its
     beginnings; and, for a label that lacks e of its characters, each part that can have stayed whole, wherever it may have moved."""
-    keys = [F.concat(F.lit("=|"), p), F.when(F.length(p) >= LEAST_CLIPPED, F.concat(F.lit("^|"), F.substring(p, 1, LEAST_CLIPPED)))]
-    keys += [F.when(F.length(p) >= LEAST_CLIPPED, F.concat(F.lit("^|"), F.substring(p, 1, i))) for i in range(1, LEAST_CLIPPED)]
-    for extra in range(1, MARKER_CHARS + 1):
-        n = F.length(p) - extra
-        for i, (start, size) in enumerate(_parts(n, extra)):
-            for shift in range(extra + 1):
-                keys.append(F.when(n >= LEAST_MARKED, F.concat_ws("|", F.lit(f"{extra}.{i}"), n.cast("string"), F.substring(p, start + 1 + shift, size))))
-    return F.array_distinct(F.filter(F.array(*keys), lambda k: k.isNotNull()))
+    begins = F.transform(F.sequence(F.lit(1), F.lit(LEAST_CLIPPED)), lambda i: F.when(F.length(p) >= LEAST_CLIPPED, F.concat(F.lit("^|"), F.substring(p, F.lit(1), i))))
+    parts = _each(_PLACES, lambda e, i, s: _part_key(p, F.length(p) - e, e, i, s))
+    return F.array_distinct(F.filter(F.concat(F.array(F.concat(F.lit("=|"), p)), begins, parts), lambda k: k.isNotNull()))
 
 
 def _label_keys(k: Column) -> Column:
     """The keys under which a label stands; see _printed_keys()."""
-    keys = [F.concat(F.lit("=|"), k), F.concat(F.lit("^|"), F.substring(k, 1, LEAST_CLIPPED))]
-    for extra in range(1, MARKER_CHARS + 1):
-        for i, (start, size) in enumerate(_parts(F.length(k), extra)):
-            keys.append(F.when(F.length(k) >= LEAST_MARKED, F.concat_ws("|", F.lit(f"{extra}.{i}"), F.length(k).cast("string"), F.substring(k, start + 1, size))))
-    return F.array_distinct(F.filter(F.array(*keys), lambda x: x.isNotNull()))
+    parts = _each([x for x in _PLACES if x[2] == 0], lambda e, i, s: _part_key(k, F.length(k), e, i, s))
+    own = F.array(F.concat(F.lit("=|"), k), F.concat(F.lit("^|"), F.substring(k, 1, LEAST_CLIPPED)))
+    return F.array_distinct(F.filter(F.concat(own, parts), lambda x: x.isNotNull()))
 
 
 def label_matches(printed: DataFrame, labels: DataFrame, group: list[str], text: str, label: str) -> DataFrame:
@@ -122,9 +129,10 @@ def label_matches(printed: DataFrame, labels: DataFrame, group: list[str], text:
 
 
 def labels_met(printed: DataFrame, labels: DataFrame, group: list[str], text: str, label: str) -> DataFrame:
-    """Every label that a printed text of a group matches at all, the best or not: group, text, label."""
+    """Every label that a printed text of a group matches at all, the best or not: group, text, label, and the best kind and n of both."""
     a, b, scored = _scored(printed, labels, group, text, label)
-    return a.join(scored, [*group, "_p"]).join(b, [*group, "_k"]).select(*group, text, label).distinct()
+    met = a.join(scored, [*group, "_p"]).join(b, [*group, "_k"]).groupBy(*group, text, label).agg(F.max("_s").alias("_s"))
+    return met.select(*group, text, label, F.col("_s.kind").alias("kind"), F.col("_s.n").alias("n"))
 
 
 def _scored(printed: DataFrame, labels: DataFrame, group: list[str], text: str, label: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -116,7 +116,7 @@ def row_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 def row_audit_counts(spark: SparkSession, sf: str) -> DataFrame:
     docs = _docs(spark, sf)
-    return page_audit.audit_collection(materialise(_reads(spark, sf), "reads"), docs).counts
+    return page_audit.audit_counts(materialise(_reads(spark, sf), "reads"), docs)
 
 
 QUERIES = {
