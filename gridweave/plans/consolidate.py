@@ -13,6 +13,8 @@ from gridweave.plans.resolve import KEY, Resolved
 from gridweave.session import kept
 
 STATUSES = ["exact", "fuzzy_auto", "fuzzy_cross_parent", "fuzzy_review", "new"]
+#: What notes refer to, and the kind of element by which they do.
+REFERENCES = {"referenced_xacts": "activity", "referenced_xcols": "column", "referenced_props": "property", "cell_references": "cell"}
 
 
 @dataclass
@@ -43,8 +45,8 @@ def _listed(df: DataFrame, key: list[str], value: str, order: list[str], name: s
     return lists.withColumn(name, F.array_distinct(name))
 
 
-def entities(r: Resolved) -> tuple[DataFrame, DataFrame]:
-    """(activities, sources): consolidated entities, and of each source row the entity it became. Reference tables take no part."""
+def entity_sources(r: Resolved) -> DataFrame:
+    """Of each source row the entity it became, and its turn. Reference tables take no part."""
     kinds = r.tables.select(*KEY, "table_id", "table_type")
     acts = r.activities.join(kinds, KEY).where("table_type <> 'reference'")
     names = r.activities.select(*KEY, F.col("activity_id").alias("parent_activity_id"), F.col("activity_name").alias("parent"))
@@ -56,7 +58,13 @@ def entities(r: Resolved) -> tuple[DataFrame, DataFrame]:
     made = fold.resolve_entities(rows, ["protocol_id"])
     own = acts.select(*KEY, "pos", "table_id", "activity_id", "row_position", "activity_name", "hierarchy_level", "is_section_header", "is_redacted", "table_type")
     parents = rows.select(*KEY, "pos", "parent")
-    sources = kept(made.join(own.hint("merge"), [*KEY, "pos"]).join(parents, [*KEY, "pos"]), "sources").withColumn("turn", F.struct(F.when(F.col("table_type") == "main_soa", 0).otherwise(1).alias("b"), F.col("table_number").alias("t"), F.col("pos").alias("p")))
+    sources = kept(made.join(own.hint("merge"), [*KEY, "pos"]).join(parents, [*KEY, "pos"]), "sources")
+    return sources.withColumn("turn", F.struct(F.when(F.col("table_type") == "main_soa", 0).otherwise(1).alias("b"), F.col("table_number").alias("t"), F.col("pos").alias("p")))
+
+
+def entities(r: Resolved) -> tuple[DataFrame, DataFrame]:
+    """(activities, sources): consolidated entities, and of each source row the entity it became."""
+    sources = entity_sources(r)
     first = lambda c, name=None: F.min_by(c, "turn").alias(name or c)
     each = sources.groupBy("protocol_id", "xact_id").agg(
         first("entity_name", "activity_name"), first("entity_parent", "parent_name"), first("hierarchy_level"), first("is_section_header"), F.bool_or("is_redacted").alias("is_redacted"),
@@ -118,37 +126,48 @@ def review_queue(sources: DataFrame) -> DataFrame:
     return sources.where("match_status = 'fuzzy_review'").select("protocol_id", "xact_id", F.col("match_confidence").alias("confidence"), F.col("entity_name").alias("existing_name"), F.col("activity_name").alias("new_name"))
 
 
-def notes_of(r: Resolved, sources: DataFrame, columns: DataFrame, properties: DataFrame) -> DataFrame:
-    """Notes once for each normal text, with the entities, columns, properties and cells they refer to in any table.
+def merged_notes(r: Resolved, sources: DataFrame | None = None, columns: DataFrame | None = None, properties: DataFrame | None = None, refs: tuple[str, ...] = ()) -> DataFrame:
+    """Notes once for each normal text, with those of REFERENCES that are asked for, each with the tables that it needs, in any table.
 
     Truth is the markers of rows; only notes for which those give no activity are bound by their recorded locations."""
+    notes = r.annotations.withColumn("ord", F.row_number().over(Window.partitionBy("protocol_id").orderBy("table_number", "pos")))
+    full = notes.select("protocol_id", "ord", "annotation_type", "annotation_text", F.col("table_number").alias("table_num"), F.col("annotation_marker").alias("marker"), "annotation_id")
+    for df in _references(r, notes, sources, columns, properties, refs) if refs else []:
+        full = full.join(kept(df, "references"), ["protocol_id", "ord"], "left")
+    merged = merge.merge_equal(full, ["protocol_id"], text.norm_note(F.coalesce("annotation_text", F.lit(""))), "ord", ["annotation_type", "annotation_text"], list(refs), ["table_num", "marker", "annotation_id"])
+    return kept(merged, "merged_notes")
+
+
+def _references(r: Resolved, notes: DataFrame, sources: DataFrame, columns: DataFrame, properties: DataFrame | None, refs: tuple[str, ...]) -> list[DataFrame]:
+    """protocol_id, ord and a list of each of refs."""
+    key = ["protocol_id", "ord"]
     to_xact = sources.select(*KEY, "activity_id", "xact_id")
     to_xcol = columns.select(*KEY, "column_id", "xcol_id")
-    to_prop = r.properties.withColumn("prop_key", property_key()).select(*KEY, F.col("property_id").alias("element"), "prop_key").join(properties.select("protocol_id", "prop_key", F.col("property_id").alias("target")), ["protocol_id", "prop_key"]).hint("merge")
-    notes = r.annotations.withColumn("ord", F.row_number().over(Window.partitionBy("protocol_id").orderBy("table_number", "pos")))
-    note = notes.select(*KEY, "annotation_id", "ord")
-    edges = kept(r.edges.join(note, [*KEY, "annotation_id"]), "edges")
+    used = r.edges.where(F.col("kind").isin([REFERENCES[x] for x in refs]))
+    edges = kept(used.join(notes.select(*KEY, "annotation_id", "ord").hint("merge"), [*KEY, "annotation_id"]), "edges")
     of = lambda kind: edges.where(F.col("kind") == kind)
-    direct = of("activity").join(to_xact.withColumnRenamed("activity_id", "element"), [*KEY, "element"]).select("protocol_id", "ord", F.col("ordinal").alias("o"), "xact_id")
-    places = notes.select(*KEY, "ord", F.posexplode("marker_locations").alias("o", "l")).where("l.location_type in ('activity_name', 'schedule_cell')")
-    by_row = r.activities.groupBy(*KEY, "row_position").agg(F.max_by("activity_id", "pos").alias("activity_id"))
-    located = places.select(*KEY, "ord", "o", F.col("l.row_position").alias("row_position")).join(by_row, [*KEY, "row_position"]).join(to_xact, [*KEY, "activity_id"])
-    bound = xref.with_fallback(direct, located.select("protocol_id", "ord", "o", "xact_id"), ["protocol_id", "ord"])
-    key = ["protocol_id", "ord"]
-    cols = of("column").join(to_xcol.withColumnRenamed("column_id", "element"), [*KEY, "element"])
-    props = of("property").join(to_prop, [*KEY, "element"])
-    pair = of("cell").withColumns({"activity_id": F.split_part("element", F.lit("|"), F.lit(1)), "column_id": F.split_part("element", F.lit("|"), F.lit(2))})
-    pair = pair.join(to_xact, [*KEY, "activity_id"]).join(to_xcol, [*KEY, "column_id"]).withColumn("cell", F.concat_ws("|", "xact_id", "xcol_id"))
-    lists = [
-        _listed(bound, key, "xact_id", ["o"], "referenced_xacts"), _listed(cols, key, "xcol_id", ["ordinal"], "referenced_xcols"),
-        _listed(props, key, "target", ["ordinal"], "referenced_props"), _listed(pair, key, "cell", ["ordinal"], "cell_references"),
-    ]
-    full = notes.select("protocol_id", "ord", "annotation_type", "annotation_text", F.col("table_number").alias("table_num"), F.col("annotation_marker").alias("marker"), "annotation_id")
-    for df in lists:
-        full = full.join(kept(df, "references"), key, "left")
-    refs = ["referenced_xacts", "referenced_xcols", "referenced_props", "cell_references"]
-    merged = merge.merge_equal(full, ["protocol_id"], text.norm_note(F.coalesce("annotation_text", F.lit(""))), "ord", ["annotation_type", "annotation_text"], refs, ["table_num", "marker", "annotation_id"])
-    merged = kept(merged, "merged_notes")
+    lists = []
+    if "referenced_xacts" in refs:
+        direct = of("activity").join(to_xact.withColumnRenamed("activity_id", "element"), [*KEY, "element"]).select(*key, F.col("ordinal").alias("o"), "xact_id")
+        places = notes.select(*KEY, "ord", F.posexplode("marker_locations").alias("o", "l")).where("l.location_type in ('activity_name', 'schedule_cell')")
+        by_row = r.activities.groupBy(*KEY, "row_position").agg(F.max_by("activity_id", "pos").alias("activity_id"))
+        located = places.select(*KEY, "ord", "o", F.col("l.row_position").alias("row_position")).join(by_row, [*KEY, "row_position"]).join(to_xact, [*KEY, "activity_id"])
+        lists.append(_listed(xref.with_fallback(direct, located.select(*key, "o", "xact_id"), key), key, "xact_id", ["o"], "referenced_xacts"))
+    if "referenced_xcols" in refs:
+        lists.append(_listed(of("column").join(to_xcol.withColumnRenamed("column_id", "element"), [*KEY, "element"]), key, "xcol_id", ["ordinal"], "referenced_xcols"))
+    if "referenced_props" in refs:
+        to_prop = r.properties.withColumn("prop_key", property_key()).select(*KEY, F.col("property_id").alias("element"), "prop_key").join(properties.select("protocol_id", "prop_key", F.col("property_id").alias("target")), ["protocol_id", "prop_key"]).hint("merge")
+        lists.append(_listed(of("property").join(to_prop, [*KEY, "element"]), key, "target", ["ordinal"], "referenced_props"))
+    if "cell_references" in refs:
+        pair = of("cell").withColumns({"activity_id": F.split_part("element", F.lit("|"), F.lit(1)), "column_id": F.split_part("element", F.lit("|"), F.lit(2))})
+        pair = pair.join(to_xact, [*KEY, "activity_id"]).join(to_xcol, [*KEY, "column_id"]).withColumn("cell", F.concat_ws("|", "xact_id", "xcol_id"))
+        lists.append(_listed(pair, key, "cell", ["ordinal"], "cell_references"))
+    return lists
+
+
+def notes_of(r: Resolved, sources: DataFrame, columns: DataFrame, properties: DataFrame | None = None, refs: tuple[str, ...] = tuple(REFERENCES)) -> DataFrame:
+    """merged_notes() with their ids and markers."""
+    merged = merged_notes(r, sources, columns, properties, refs)
     merged = ids.mint_in_order(merged, "xannot_id", "xannot", ["protocol_id"], [F.col("first_order")])
     occ = merged.select("protocol_id", "xannot_id", F.posexplode("occurrences").alias("at", "o")).select("protocol_id", "xannot_id", "at", "o.table_num", "o.marker")
     shown = merge.display_markers(occ, ["protocol_id", "xannot_id"], "marker", "table_num", "display_markers", order="at")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridweave.plans import consolidate, inventory, resolve, validate
 from gridweave.plans.catalogue import _MARKERS, _NORM_NOTE, fold_sql
 from gridweave.plans.problems import table
-from gridweave.session import kept
+from gridweave.session import kept, kept_only
 from gridweave.sources import documents
 
 
@@ -120,7 +120,10 @@ def consolidated_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def consolidated_notes(spark: SparkSession, sf: str) -> DataFrame:
-    n = _both(spark, sf)[1].annotations
+    """Of the references only those to activities and cells are shown, so only they are worked out."""
+    r = resolve.resolve(_docs(spark, sf), kept_only("activity_rows", "grid", "raw_cells", "cells", "activities", "note_rows", "tables"))
+    columns = kept(consolidate.timeline(r)[0].select(*resolve.KEY, "column_id", "xcol_id"), "columns")
+    n = consolidate.notes_of(r, consolidate.entity_sources(r), columns, refs=("referenced_xacts", "cell_references"))
     return n.select("protocol_id", "xannot_id", "annotation_type", "display_markers", F.array_join("referenced_xacts", ",").alias("xacts"), F.size("cell_references").alias("n_cells"), "occurrence_count")
 
 

@@ -54,10 +54,10 @@ def resolve(docs: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = lambd
     props = keep(hierarchy.parent_previous(props, KEY, ["pos"], "hierarchical_level", "property_id", "parent_property_id"), "properties")
     acts = ids.elements(good, "activities", KEY).withColumn("activity_id", ids.mint("act", F.col("pos")))
     acts = acts.withColumn("hierarchy_level", F.coalesce("activity_name_source.indentation_level", F.lit(0)))
-    acts = keep(hierarchy.parent_smaller(acts, KEY, ["pos"], "hierarchy_level", "activity_id", "parent_activity_id"), "activities")
+    acts = keep(hierarchy.parent_smaller(acts, KEY, ["pos"], "hierarchy_level", "activity_id", "parent_activity_id"), "activity_rows")
     grid = keep(fill.fill_merged(ids.elements(good, "schedule_grid", KEY), KEY, "merged_cell_range", "cell_value", ["pos"]), "grid")
     raw_cells = keep(ids.elements(good, "activity_schedule", KEY), "raw_cells")
-    notes = keep(ids.elements(good, "annotations", KEY).withColumn("annotation_id", ids.mint("annot", F.col("pos"))), "notes")
+    notes = keep(ids.elements(good, "annotations", KEY).withColumn("annotation_id", ids.mint("annot", F.col("pos"))), "note_rows")
 
     # columns
     col_id = ids.mint("col", F.col("column_position"))

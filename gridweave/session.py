@@ -80,6 +80,11 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, label).hint("merge")
 
 
+def kept_only(*labels: str) -> Callable[[DataFrame, str], DataFrame]:
+    """kept() for steps of these labels; the others stay part of the plans that read them, and cost nothing where none does."""
+    return lambda df, label: kept(df, label) if label in labels else df
+
+
 _shipped: set[str] = set()
 
 

@@ -36,3 +36,11 @@ def test_keys_of_a_text_are_a_short_expression(spark):
 
     plan = spark.range(1).select(F.explode(matching._printed_keys(F.col("id").cast("string"))))
     assert len(plan._jdf.queryExecution().analyzed().toString()) < 5000
+
+
+def test_consolidated_notes_writes_what_it_reads(spark, written):
+    from gridweave.plans import consolidate, pipeline_queries
+
+    pipeline_queries.consolidated_notes(spark, SF).collect()
+    assert not {"nodes", "entities", "properties", "column_values"} & {*written}  # the walk of the tree and properties, which no note shows
+    assert written.count("references") == 2 and {*consolidate.REFERENCES} > {"referenced_xacts", "cell_references"}
