@@ -175,6 +175,12 @@ def notes_of(r: Resolved, sources: DataFrame, columns: DataFrame, properties: Da
     return kept(annotations, "notes")
 
 
+def statistics(r: Resolved) -> DataFrame:
+    """The counts of consolidate() alone, without what only its other tables take."""
+    sources = entity_sources(r)
+    return _stats(r, sources.select("protocol_id", "xact_id").distinct(), sources, merged_notes(r))
+
+
 def _stats(r: Resolved, activities: DataFrame, sources: DataFrame, annotations: DataFrame) -> DataFrame:
     """Counts of matches, of what was folded, and of notes, by protocol."""
     matched = report.zero_filled(sources, ["protocol_id"], "match_status", STATUSES)

@@ -84,7 +84,8 @@ def _both(spark: SparkSession, sf: str) -> tuple[resolve.Resolved, consolidate.C
 
 
 def consolidated_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    return _both(spark, sf)[1].stats.drop("by_type")
+    r = resolve.resolve(_docs(spark, sf), kept_only("activity_rows", "raw_cells", "activities", "note_rows", "tables"))
+    return consolidate.statistics(r).drop("by_type")
 
 
 def consolidated_sources(spark: SparkSession, sf: str) -> DataFrame:

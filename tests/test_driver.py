@@ -44,3 +44,11 @@ def test_consolidated_notes_writes_what_it_reads(spark, written):
     pipeline_queries.consolidated_notes(spark, SF).collect()
     assert not {"nodes", "entities", "properties", "column_values"} & {*written}  # the walk of the tree and properties, which no note shows
     assert written.count("references") == 2 and {*consolidate.REFERENCES} > {"referenced_xacts", "cell_references"}
+
+
+def test_consolidated_statistics_writes_what_it_counts(spark, written):
+    from gridweave.plans import pipeline_queries
+
+    got = pipeline_queries.consolidated_statistics(spark, SF)
+    assert not {"nodes", "entities", "properties", "grid", "cells", "columns", "edges", "references", "notes"} & {*written}
+    assert sorted(got.collect()) == sorted(pipeline_queries._both(spark, SF)[1].stats.select(got.columns).collect())
