@@ -214,3 +214,59 @@ def test_rows_of_a_block_in_pieces():
         top = min((r for r in mine if r[1]), key=lambda r: (-r[2], r[1]))
         assert top[1] == best and sum(r[3] + (np.exp(r[2]) if r[1] else 0) for r in mine) == pytest.approx(total)
     assert result(7) == whole
+
+
+def test_nothing_of_the_model_is_sampled(spark, monkeypatch):
+    """Bounds of a sample change nothing: vectors, ratios and prior come from all records."""
+    left, right, stud, _ = world(5, studies=12)
+    want = run(spark, left, right, stud)
+    monkeypatch.setattr(entities, "FIT_RECORDS", 20)
+    monkeypatch.setattr(entities, "FIT_STUDIES", 2)
+    monkeypatch.setattr(entities, "FIT_LEAST", 5)
+    got = run(spark, left, right, stud)
+    assert len(want) > 50 and {k: v[:2] for k, v in got.items()} == {k: v[:2] for k, v in want.items()}
+    assert all(got[k][2] == pytest.approx(want[k][2]) for k in want)
+
+
+def test_words_of_all_cells_have_vectors(spark, monkeypatch):
+    """Words that two records have get a vector, in whatever cells those are."""
+    monkeypatch.setattr(entities, "CELL", 50)
+    rows = [(f"S{s}", f"{w} both{s // 4}", "labs", None, float(d), 1.0) for s in range(40) for d in range(5) for w in (f"a{d}", f"b{d}")]
+    df = spark.createDataFrame(rows, "study string, name string, section string, track string, n1 double, n2 double")
+    model = entities._vectors(df, df.select("name"))
+    assert set(model.vectors) == {f"{k}{d}" for k in "ab" for d in range(5)} | {f"both{s}" for s in range(10)}
+    assert model.weights["a1"] == pytest.approx(np.log(400 / 40))
+    v = model.vectors
+    near = np.array([[v[f"a{d}"] @ v[f"b{x}"] for x in range(5)] for d in range(5)])
+    assert near.trace() / 5 > (near.sum() - near.trace()) / 20 + 0.05
+
+
+def test_all_pairs_are_counted_by_distinct_values(spark):
+    rng = random.Random(2)
+    row = lambda s: (s, rng.choice([*NAMES[:6], None]), rng.choice(["labs", "lab", None]), rng.choice(["a", "b", None]), rng.choice([1.0, 4.0, 30.0, None]), rng.choice([2.0, 3.0, None]))
+    sides = [[row(s) for s, n in (("s1", 30), ("s2", 9)) for _ in range(n * k)] for k in (2, 1)]
+    size = {"s1": 30, "s2": 9}
+    schema = "study string, name string, section string, track string, n1 double, n2 double, size long"
+    dfs = [spark.createDataFrame([(*r, size[r[0]]) for r in side], schema) for side in sides]
+    model = entities.Model(vectors={}, weights={})
+    got = entities._split_sums(entities._all_pairs(*dfs, spark.sparkContext.broadcast(model)))
+    want = {k: np.zeros(n) for k, n in entities.SIZES.items()}
+    for s in size:
+        ls, rs = ([dict(zip(("name", "section", "track", "n1", "n2", "rate"), (*r[1:], 1.0))) for r in side if r[0] == s] for side in sides)
+        cats = entities.features(entities.records_of(entities.Encoding(model), [*ls, *rs]), *(np.array([x]) for x in (0, len(ls), len(ls), len(rs))))[2]
+        for k in want:
+            want[k] += np.bincount(cats[k], minlength=len(want[k])) / size[s]
+    assert all(np.allclose(got[k], want[k]) for k in want) and want["n1"].sum() == pytest.approx(78)
+
+
+def test_a_pair_that_meets_twice_is_calibrated_once():
+    rows = [{"block": b, "size": 10**6, "pid": 5 + i, "n1": 1.0} for b in range(3) for i in range(4)]
+    rows += [{"block": b, "size": 10**6, "id": f"r{i}", "n1": 1.0 + 4 * (i == 2)} for b in range(3) for i in range(3)]
+    batch = blocks(rows)
+    rid = pa.array([None if x is None else int(x[1:]) for x in batch.column("id").to_pylist()], pa.int64())
+    batch = pa.RecordBatch.from_arrays([*batch.columns, rid], names=[*batch.schema.names, "rid"])
+    met = pa.Table.from_batches(entities.block_pairs(iter([batch]), flat_model())).sort_by("pid").combine_chunks()
+    for step in (1, 5, 100):
+        out = pa.Table.from_batches(entities.merge_pairs(iter(met.to_batches(step))))
+        pid, _, owner, code, n, _ = entities._flat(out)
+        assert pid.tolist() == [5, 6, 7, 8] and n.tolist() == [1, 2] * 4 and len(code) == 8
